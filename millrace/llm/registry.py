@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .queries_sharding import op1_histogram_shards
 from .queries_simhash import op10_simhash_bktree
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_simhash_bktree,)}
+    return {f.__name__: f for f in (op1_histogram_shards, op10_simhash_bktree)}
 
 
 def oracle_sql() -> dict[str, str]:
