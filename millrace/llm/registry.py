@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .queries_packing import op4_residual_packing
 from .queries_sharding import op1_histogram_shards
 from .queries_simhash import op10_simhash_bktree
 from .queries_tokens import op3_token_planes
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_histogram_shards, op3_token_planes, op10_simhash_bktree)}
+    return {f.__name__: f for f in (op1_histogram_shards, op3_token_planes, op4_residual_packing, op10_simhash_bktree)}
 
 
 def oracle_sql() -> dict[str, str]:
