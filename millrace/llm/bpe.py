@@ -7,23 +7,26 @@ import os
 import re
 import sys
 from array import array
+from itertools import islice
 
 import public_tokenizers
 
 DEFAULT_VOCAB = "byte_bpe_50k.json"
 #: Unicode White_Space, which is what the pre-tokenizer's \s matches.
 _WS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_CHUNK = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
+#: Letters of which a run is a piece of its own wherever one of _STOPS or white space follows.
+_LETTERS, _STOPS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff", ".,:;!?|()"
+_CHUNK = re.compile(f" ?[{_LETTERS}]+(?![^{_WS}{_STOPS}])| ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
 #: Longer chunks are encoded each time, and this many are remembered.
-_LONG, _REMEMBERED = 48, 400_000
+_LONG, _REMEMBERED = 48, 1_000_000
 
 
 class ChunkEncoder:
     """Encodes texts exactly as ``Tokenizer.encode(text, add_special_tokens=False)`` does.
 
     A byte-level pre-tokenizer starts a new piece at every chunk (one optional space and a run without
-    white space, or white space), and merges never cross pieces, so a text's ids are its chunks' ids
-    in order. Chunks repeat a lot; each goes through the library once. A vocabulary with another
+    white space, or white space; letters before a stop are a chunk without it), and merges never cross
+    pieces, so a text's ids are its chunks' ids in order. Chunks repeat a lot; each goes through the library once. A vocabulary with another
     pre-tokenizer or a normalizer, and any text that contains an added token, is encoded whole.
     """
 
@@ -57,7 +60,8 @@ class ChunkEncoder:
         for i, ids in zip(whole, self._encode_all([texts[i] for i in whole])):
             out[i] = ids
         if len(self.memo) > _REMEMBERED:
-            self.memo.clear()
+            # the first half came early, so it is the commoner
+            self.memo = dict(islice(self.memo.items(), _REMEMBERED // 2))
         memo = self.memo
         todo, size = [], 0
         for i, text in enumerate(texts):
