@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .queries_mixing import OP8_SQL, op8_systematic_mix
 from .queries_packing import op4_residual_packing
+from .queries_quality import op5_tokenizer_fertility
+from .queries_secrets import op9_assignment_lexer
 from .queries_sharding import op1_histogram_shards
 from .queries_simhash import op10_simhash_bktree
 from .queries_tokens import op3_token_planes
@@ -17,4 +20,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_systematic_mix": OP8_SQL}
