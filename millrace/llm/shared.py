@@ -11,7 +11,6 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.functions import ArrowUDFType
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import _parse_datatype_string
 
@@ -74,19 +73,19 @@ def drop_names(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in keep])
 
 
-def struct_udf(fn: Callable[..., list], schema: str, *columns: Column) -> Column:
-    """A struct column from ``fn(*lists) -> one list per field``, called once per Arrow batch.
+def struct_udf(fn: Callable[[list], list], schema: str, column: Column) -> Column:
+    """A struct column from ``fn(values) -> one list per field``, called once per Arrow batch.
 
-    Only ``columns`` travel to Python. The UDF is marked nondeterministic so that Catalyst neither
+    Only ``column`` travels to Python. The UDF is marked nondeterministic so that Catalyst neither
     pushes a filter on its result below it nor evaluates it twice.
     """
     arrow = to_arrow_type(_parse_datatype_string(schema))
 
-    def run(*arrays):
-        out = fn(*[a.to_pylist() for a in arrays])
-        return pa.StructArray.from_arrays([pa.array(c, type=f.type) for c, f in zip(out, arrow)], fields=list(arrow))
+    def run(values: pa.Array) -> pa.Array:
+        return pa.StructArray.from_arrays([pa.array(c, type=f.type) for c, f in zip(fn(values.to_pylist()), arrow)], fields=list(arrow))
 
-    return F.arrow_udf(run, schema, ArrowUDFType.SCALAR).asNondeterministic()(*columns)
+    run.__annotations__ = {"values": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, schema).asNondeterministic()(column)
 
 
 def ascii_bytes(text: Column) -> Column:
