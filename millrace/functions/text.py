@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 #: A maximal run of letters, digits (any script) and underscores.
 WORD = r"[\p{L}\p{N}_]+"
 #: An ASCII word with one optional apostrophe suffix, a digit run, or one character that is neither word nor space.
-TOKEN = r"[A-Za-z]+(?:'[A-Za-z]+)?|\p{Nd}+|[^\p{L}\p{N}_\s\p{Z}]"
+TOKEN = r"[a-zA-Z]+(?:'[a-zA-Z]+)?|\p{Nd}+|[^\p{L}\p{N}_\s\p{Z}]"
 #: All that Unicode calls white space, and the four ASCII separators.
 SPACE = r"[\s\p{Z}\x{85}\x{1C}-\x{1F}]"
 
@@ -49,9 +49,9 @@ def tokenize(c: Column) -> Column:
 def detokenize(tokens: Column) -> Column:
     """Tokens joined by spaces, signs and brackets closed up, English contractions glued."""
     c = F.array_join(tokens, " ")
-    c = F.regexp_replace(c, r"\s+([,.;:!?])", "$1")
-    c = F.regexp_replace(c, r"""([(\[{"'])\s+""", "$1")
-    c = F.regexp_replace(c, r"""\s+([)\]}"'])""", "$1")
+    c = F.regexp_replace(c, r"\s+([!,.:;?])", "$1")
+    c = F.regexp_replace(c, r"""(["'({\[])\s+""", "$1")
+    c = F.regexp_replace(c, r"""\s+(["')}\]])""", "$1")
     for suffix in ("n't", "'s", "'re", "'m", "'ve", "'d"):
         c = F.replace(c, F.lit(f" {suffix}"), F.lit(suffix))
     return c
