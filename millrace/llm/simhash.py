@@ -42,7 +42,7 @@ def fingerprint(data: bytes, slice_rows: int = 1 << 16) -> int:
 
 
 class BKTree:
-    """A Burkhard-Keller tree over integers under Hamming distance."""
+    """A Burkhard-Keller tree over unsigned integers under Hamming distance."""
 
     __slots__ = ("children", "values")
 
@@ -136,7 +136,7 @@ def _search(batches):
         for i, v in enumerate(fps):
             for j in tree.within(v, RADIUS):
                 if j != i:
-                    if _first_shard((v ^ fps[j]) & 0xFFFFFFFFFFFFFFFF, shard):
+                    if _first_shard(v ^ fps[j], shard):
                         near[i] += ns[j]
                     if j < i and (a := find(i)) != (b := find(j)):
                         parent[max(a, b)] = min(a, b)
@@ -152,9 +152,10 @@ def _search(batches):
             starts = np.flatnonzero(np.r_[True, (shard[1:] != shard[:-1]) | (sub[1:] != sub[:-1])])
             ends = np.r_[starts[1:], len(fp)]
             for s, e in zip(starts[ends - starts > 1], ends[ends - starts > 1]):
-                out += shard_rows(int(shard[s]), fp[s:e].tolist(), n[s:e].tolist())
+                out += shard_rows(int(shard[s]), fp[s:e].view(np.uint64).tolist(), n[s:e].tolist())
         a, b, c = zip(*out) if out else ((), (), ())
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b, c)], names=["fp", "near", "root"])
+        signed = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (a, c)]
+        return pa.RecordBatch.from_arrays([signed[0], pa.array(b, pa.int64()), signed[1]], names=["fp", "near", "root"])
 
     held = [np.empty(0, np.int64)] * 4
     for batch in batches:
