@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,8 +32,9 @@ def targets(sizes: DataFrame, weights: Sequence[int], limit: int) -> DataFrame:
         sizes.withColumn("missing", F.col("source").isNull()).repartitionByRange("missing", "source").sortWithinPartitions("missing", "source")
         .withColumn("pid", F.spark_partition_id()).withColumn("pos", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)), "sources",
     )
-    before = ordered.groupBy("pid").count()
-    before = before.alias("a").join(before.alias("b"), F.col("b.pid") < F.col("a.pid"), "left").groupBy("a.pid").agg(F.coalesce(F.sum("b.count"), F.lit(0)).alias("before"))
+    counts = sorted((r["pid"], r["count"]) for r in ordered.groupBy("pid").count().collect())  # at most a row a partition
+    ahead = list(accumulate((n for _, n in counts), initial=0))
+    before = ordered.sparkSession.createDataFrame([(pid, n) for (pid, _), n in zip(counts, ahead)], "pid int, before long")
     turn = F.pmod(F.col("before") + F.col("pos"), F.lit(len(weights)))
     ranked = ordered.join(before, "pid").select(
         "source", "n_docs", "source_size", F.element_at(F.array(*[F.lit(w).cast("long") for w in weights]), (turn + 1).cast("int")).alias("w")
@@ -73,7 +75,7 @@ def mix(
     """
     row, tie = "__mr_row", F.lit(0) if tie is None else tie
     kept = [c for c in df.columns if c.lower() not in OUTPUT]
-    table = stage(df.withColumns({"__mr_size": size.cast("long"), "__mr_tie": tie, row: F.monotonically_increasing_id()}).drop(*[c for c in df.columns if c not in kept]), "mix")
+    table = stage(df.withColumns({"__mr_size": F.coalesce(size.cast("long"), F.lit(0)), "__mr_tie": tie, row: F.monotonically_increasing_id()}).drop(*[c for c in df.columns if c not in kept]), "mix")
     order = ["__mr_miss", source_col, "__mr_size", id_col, "__mr_tie", row]
     rows = table.select(source_col, "__mr_size", id_col, "__mr_tie", row, F.col(source_col).isNull().alias("__mr_miss"))
     rows = stage(
@@ -88,7 +90,7 @@ def mix(
     starts = runs.withColumn("ahead", ahead).alias("r").join(aims.alias("t"), F.col("r.source").eqNullSafe(F.col("t.source")))
     starts = starts.select(
         F.col("__mr_pid").alias("pid"), F.col("r.source").alias("src"), (F.col("ahead") - F.col("first")).alias("shift"), F.col("t.source_size").alias("source_size"), "target",
-        (F.col("target") / F.col("t.source_size")).alias("rate"), offset_of(F.col("r.source"), seed).alias("offset"),
+        F.when(F.col("t.source_size") > 0, F.col("target") / F.col("t.source_size")).alias("rate"), offset_of(F.col("r.source"), seed).alias("offset"),
     )
     found = rows.join(starts, (F.col("__mr_pid") == F.col("pid")) & source.eqNullSafe(F.col("src")))
     rank, rate, u = F.col("__mr_pos") + F.col("shift"), F.col("rate"), F.col("offset")
