@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -161,9 +162,9 @@ class Scanner:
     def spans(self, ids: np.ndarray) -> list[tuple[int, int, int, float]]:
         """Chains of a template's matches as (template, start, end, share of the template covered).
 
-        Matches of one template chain while both places go forward and the text's gap is at most
-        ``gap`` words more than the template's; overlaps count once. Chains start anew beyond that, so
-        several copies in one text are several spans.
+        A match goes on from the earlier one that makes it cover most, if both places go forward and the
+        text's gap is at most ``gap`` words more than the template's; overlaps count once. Of chains that
+        share words of the text the one that covers most counts, so copies in one text are spans of their own.
         """
         by_template: dict[int, list[tuple[int, int, int]]] = {}
         for t, a, b, n in self.matches(ids):
@@ -172,19 +173,24 @@ class Scanner:
         for t, found in by_template.items():
             found.sort()
             size = len(self.templates[t][1])
-            chains: list[list[int]] = []  # text start, text end, template end, words covered
+            chains: list[tuple[int, int, int, int, int]] = []  # words covered, text start, text end, template end, match start
             for b, a, n in found:
-                best = None
-                for chain in chains[-16:]:
-                    skip = max(chain[2] - a, chain[1] - b, 0)
-                    if skip < n and b + skip - chain[1] <= a + skip - chain[2] + self.gap and (best is None or chain[3] > best[0][3]):
-                        best = (chain, skip)
-                if best:
-                    chain, skip = best
-                    chain[1], chain[2], chain[3] = b + n, a + n, chain[3] + n - skip
-                else:
-                    chains.append([b, b + n, a + n, n])
-            out += [(t, c[0], c[1], c[3] / size) for c in chains if c[3] >= self.min_cover * size or c[3] >= self.min_words]
+                best = (n, b, b + n, a + n, b)
+                for covered, start, end, at, begin in reversed(chains):
+                    if begin < b - 2 * size - self.gap:
+                        break
+                    skip = max(at - a, end - b, 0)
+                    if skip < n and b + skip - end <= a + skip - at + self.gap and covered + n - skip > best[0]:
+                        best = (covered + n - skip, start, b + n, a + n, b)
+                chains.append(best)
+            taken: list[tuple[int, int]] = []
+            for covered, start, end, *_ in sorted(chains, key=lambda c: (-c[0], c[1])):
+                if covered < self.min_cover * size and covered < self.min_words:
+                    break
+                k = bisect_left(taken, (start, end))
+                if (k == 0 or taken[k - 1][1] <= start) and (k == len(taken) or end <= taken[k][0]):
+                    taken.insert(k, (start, end))
+                    out.append((t, start, end, covered / size))
         return sorted(out, key=lambda x: (x[1], x[0]))
 
     def scan(self, data: bytes) -> tuple:
