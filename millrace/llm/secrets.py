@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -167,7 +169,8 @@ def _joined(spans) -> str:
 def all_spans(text: str) -> tuple[list, list]:
     """Base spans, and those with the lexer's literals that no base span holds already."""
     base = base_spans(text)
-    more = [(s, 3, e) for s, e in literal_spans(text) if not any(a <= s and e <= b for a, _, b in base)]
+    starts, reach = [s for s, *_ in base], list(accumulate((e for *_, e in base), max))
+    more = [(s, 3, e) for s, e in literal_spans(text) if not (k := bisect_right(starts, s)) or reach[k - 1] < e]
     return base, sorted(base + more)
 
 
