@@ -235,5 +235,5 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     order = "__mr_row"
     held = stage(df.withColumn(order, F.monotonically_increasing_id()), "rows")
     found = near_duplicates(held.select(F.struct(F.col(id_col).isNull().alias("missing"), F.col(id_col).alias("id"), F.col(order).alias("row")).alias("key"), text_col), "key", text_col)
-    chosen = found.where("key = component_id").select(F.col("key.row").alias(order))
-    return drop_names(held.join(chosen, order, "left_semi"), [order]).select(*df.columns)
+    dropped = found.where("key <> component_id").select(F.col("key.row").alias(order))
+    return drop_names(held.join(dropped, order, "left_anti"), [order]).select(*df.columns)
