@@ -16,7 +16,7 @@ DEFAULT_VOCAB = "byte_bpe_50k.json"
 _WS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Letters of which a run is a piece of its own wherever one of _STOPS or white space follows.
 _LETTERS, _STOPS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff", ".,:;!?|()"
-_CHUNK = re.compile(f" ?[{_LETTERS}]+(?![^{_WS}{_STOPS}])| ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
+_CHUNK = re.compile(f" ?[{_LETTERS}]++(?![^{_WS}{_STOPS}])| ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
 #: Longer chunks are encoded each time, and this many are remembered.
 _LONG, _REMEMBERED = 48, 1_000_000
 

@@ -1,0 +1,106 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm.fm import N_WORDS, SIZE, STATS, FactorisationMachine, features, fit, score_quality, train, values
+from millrace.llm.queries_classifier import op7_factorisation_machine
+
+
+def corpus(n, seed=1):
+    """Good rows are varied words, bad ones repeat or hold signs."""
+    rnd = random.Random(seed)
+    rows, labels = [], []
+    for i in range(n):
+        good = rnd.random() < 0.7
+        words = [rnd.choice("river stone mill grain valley tree season wheel farmer cart price".split()) + rnd.choice(["", "s", "ed"]) for _ in range(rnd.randrange(5, 60))]
+        text = " ".join(words) if good else " ".join(w + "&&" for w in words) if i % 2 else " ".join(words[:2] * 20)
+        rows.append((i, text, "en", "a", len(text)))
+        labels.append((i, int(good), 0))
+    return rows, labels
+
+
+def frames(spark, n):
+    rows, labels = corpus(n)
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_pairs_in_linear_time_equal_the_double_sum():
+    rng = np.random.default_rng(0)
+    m = FactorisationMachine(0.3, rng.normal(size=SIZE), rng.normal(size=(SIZE, 4)))
+    rows = [features(t) for t in (b"a b c d", b"", b"x y! Z\nx y! Z")]
+    n = np.array([len(r) for r in rows])
+    x = values(n).astype(np.float64)
+    starts = np.concatenate(([0], np.cumsum(n)[:-1]))
+    z = m.margins(np.concatenate(rows), x, starts)[0]
+    for k, row in enumerate(rows):
+        own = x[starts[k] : starts[k] + n[k]]
+        pairs = sum(m.factors[row[i]] @ m.factors[row[j]] * own[i] * own[j] for i in range(len(row)) for j in range(i))
+        assert z[k] == pytest.approx(0.3 + m.linear[row] @ own + pairs)
+
+
+def test_features_are_words_then_one_bin_of_each_statistic():
+    for data in (b"", b"one two two", b"!" * 1000, "é語".encode() * 50):
+        f = features(data)
+        assert len(f) == len(set(data.split())) + len(STATS) and (f[-len(STATS) :] >= N_WORDS).all() and f.max() < SIZE
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = frames(spark, 600)
+    model = train(docs, labels)
+    rows = score_quality(docs, model).join(labels, "doc_id").where("held_out").collect()
+    assert len(rows) > 80 and sum(r["predicted"] == r["quality"] for r in rows) >= 0.95 * len(rows)
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+
+
+def test_held_out_labels_change_nothing(spark):
+    docs, labels = frames(spark, 150)
+    other = labels.withColumn("quality", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, 1 - F.col("quality")).otherwise(F.col("quality")))
+    a, b = train(docs, labels), train(docs, other)
+    assert a.bias == b.bias and (a.linear == b.linear).all() and (a.factors == b.factors).all()
+
+
+def test_a_score_depends_on_the_text_alone(spark):
+    docs, labels = frames(spark, 100)
+    model = train(docs, labels)
+    changed = docs.select((F.col("doc_id") + 5000).alias("doc_id"), "text", F.lit(None).cast("string").alias("lang"), F.lit("z").alias("source"), F.lit(None).cast("long").alias("n_chars"))
+    a, b = ({r["text"]: r["score"] for r in score_quality(d, model).collect()} for d in (docs, changed))
+    assert a == b
+
+
+def test_edges(spark, edge, edge_rows, empty):
+    docs, labels = frames(spark, 60)
+    model = train(docs, labels)
+    got = score_quality(edge.withColumn("SCORE", F.lit("x")), model)
+    assert got.columns == [*edge.columns, "held_out", "score", "predicted"]
+    rows = got.collect()
+    assert len(rows) == len(edge_rows) and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in rows)
+    assert score_quality(empty, model).count() == 0
+    nulls = labels.limit(0).union(spark.createDataFrame([(None, 1, 0), (1, None, 0)], labels.schema))
+    for known, table in ((nulls, docs), (labels, empty), (labels.where("quality = 1"), docs)):
+        m = train(table, known)
+        assert {0 < r["score"] < 1 for r in score_quality(docs, m).collect()} == {True}
+
+
+def test_repeated_and_conflicting_labels(spark):
+    docs, labels = frames(spark, 80)
+    twice = labels.union(labels).union(labels.withColumn("quality", F.lit(0)))
+    a, b = train(docs.union(docs), twice), train(docs, labels)
+    assert (a.linear == b.linear).all()
+
+
+def test_bounded_sample_and_repeatable_fit(spark):
+    docs, labels = frames(spark, 200)
+    a, b = (train(docs.repartition(k), labels.repartition(k), max_train=50) for k in (1, 4))
+    assert (a.factors == b.factors).all()
+    assert fit([], np.empty(0, np.float32)).scores([]).tolist() == []
+
+
+def test_query(spark, tmp_path):
+    docs, labels = frames(spark, 50)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    df = op7_factorisation_machine(spark, str(tmp_path))
+    assert dict(df.dtypes) == {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"} and df.count() == 50

@@ -1,0 +1,83 @@
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from millrace.llm.bpe import default_vocab
+from millrace.llm.packing import best_fit, pack, pack_documents, sequences
+from millrace.llm.queries_packing import op4_residual_packing
+
+WHOLE = Tokenizer.from_file(default_vocab())
+
+
+def pieces_of(doc_id, text, capacity=1024):
+    ids = np.array([*WHOLE.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+    first = (len(ids) - 1) % capacity + 1
+    cuts = [0, *range(first, len(ids) + 1, capacity)]
+    return [(doc_id, k, a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+
+
+def check(rows, capacity):
+    by = {}
+    for r in rows:
+        by.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in by.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(by)
+
+
+def test_edges(spark, edge, edge_rows, empty):
+    clash = edge.withColumn("offset", F.lit("x")).withColumn("piece", F.lit("y")).withColumn("id", F.lit(1))
+    rows = pack_documents(clash, default_vocab(), 2).collect()
+    check(rows, 1024)
+    got = Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows)
+    assert got == Counter(p for r in edge_rows for p in pieces_of(r[0], r[1]))
+    assert pack_documents(empty, default_vocab(), 2).count() == 0
+
+
+@pytest.mark.parametrize("task_items", [200_000, 500])
+def test_packs_near_the_bound(spark, task_items):
+    rng = np.random.default_rng(0)
+    sizes = rng.integers(1, 1025, 6000).tolist()
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(sizes)], "i long, length long").repartition(5)
+    rows = pack(df.withColumn("sequence_id", F.lit("old")), F.col("length"), 1024, task_items=task_items).collect()
+    assert sorted(r["i"] for r in rows) == list(range(6000)) and check(rows, 1024) <= 1.02 * -(-sum(sizes) // 1024)
+
+
+def test_bins_that_nothing_fits_are_done(spark):
+    df = spark.createDataFrame([(600,)] * 900, "length long").repartition(3)
+    assert check(pack(df, F.col("length"), 1024, task_items=100).collect(), 1024) == 900
+
+
+def test_same_packing_when_run_again(spark):
+    df = spark.range(3000).select("id", (F.col("id") * 37 % 900 + 1).alias("length")).coalesce(1)
+    one, two = (sorted(map(tuple, pack(df, F.col("length"), 1024, task_items=300).collect())) for _ in range(2))
+    assert one == two
+
+
+def test_best_fit_takes_the_tightest():
+    bins, offsets, fill = best_fit(np.array([6, 7, 3, 4]), 10)
+    assert bins[2] == bins[1] and bins[3] == bins[0] and fill == [10, 10] and offsets.tolist() == [0, 0, 7, 6]
+
+
+def test_sequences_hold_the_ids(spark):
+    docs = spark.createDataFrame([(i, "word " * n) for i, n in enumerate([3, 1500, 700, 20])], "doc_id long, text string")
+    packed = pack_documents(docs, default_vocab(), 2, capacity=512)
+    tokens = {r["doc_id"]: [*WHOLE.encode(r["text"], add_special_tokens=False).ids, 2] for r in docs.collect()}
+    got = {r["sequence_id"]: r["ids"] for r in sequences(packed, spark.createDataFrame(list(tokens.items()), "doc_id long, ids array<long>")).collect()}
+    for r in packed.collect():
+        assert got[r["sequence_id"]][r["offset"] : r["offset"] + r["length"]] == tokens[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+
+
+def test_query(spark, edge, edge_rows, tmp_path):
+    edge.write.parquet(str(tmp_path / "documents.parquet"))
+    df = op4_residual_packing(spark, str(tmp_path))
+    assert dict(df.dtypes) == {"doc_id": "bigint", "piece": "int", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "sequence_id": "bigint", "offset": "bigint"}
+    assert check(df.collect(), 1024) >= 1
