@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -22,12 +23,13 @@ NAMES = tuple(f.split()[0] for f in METRICS.split(", "))
 
 @dataclass(frozen=True)
 class Band:
-    """What a language or script may have: characters per token, share of byte-fallback tokens, and the
-    tokens' entropy as a share of the most that as many tokens can have."""
+    """What a language or script may have: characters per token, share of byte-fallback tokens, the tokens'
+    entropy as a share of the most that as many tokens can have, and fertility, tokens per word, at most."""
 
     chars: tuple[float, float]
     byte_share: float
     entropy: tuple[float, float]
+    per_word: float = math.inf
 
 
 class WordTokens:
@@ -44,7 +46,8 @@ class WordTokens:
     def learn(self, words: set[bytes]) -> list[bytes]:
         """Remember ids of the words that are new; returns those too long to keep."""
         if len(self.memo) > _REMEMBERED:
-            self.memo.clear()
+            # the first half came early, so it is the commoner
+            self.memo = dict(islice(self.memo.items(), _REMEMBERED // 2))
         new = list(words.difference(self.memo))
         ids = self.model.encode([w.decode("utf-8", "replace") for w in new], num_threads=1)
         self.memo.update((w, np.array(i, np.int32).tobytes()) for w, i in zip(new, ids))
@@ -87,33 +90,38 @@ def measure(texts: list[bytes], model_path: str) -> list[list]:
         _models[model_path] = WordTokens(model_path)
     model = _models[model_path]
     rows = []
-    for data in texts:
-        words = data.split()
-        n, size = len(words), sum(map(len, words))
-        text = data.decode("utf-8", "replace")
-        spaces = len(data) - size
-        lines = [x for x in data.split(b"\n") if x.strip()]
-        symbols = len(data) - len(data.translate(None, _SYMBOLS))
-        long = model.learn(set(words))
-        ids = np.frombuffer(b"".join(map(model.memo.__getitem__, words)), np.int32)
+    for k in range(0, len(texts), 64):
+        group = [(data, data.split()) for data in texts[k : k + 64]]
+        long = model.learn(set().union(*[words for _, words in group]))
+        rows += [_measured(data, words, model) for data, words in group]
         for w in long:
             del model.memo[w]
-        tokens = len(ids)
-        if tokens:
-            counts = np.unique(ids, return_counts=True)[1]
-            entropy = float(math.log2(tokens) - (counts * np.log2(counts)).sum() / tokens)
-            ratio, share = (len(text) - spaces) / tokens, float(model.is_byte[ids].mean())
-        else:
-            entropy = ratio = share = None
-        rows.append((n, len(text) - spaces, symbols, len(lines) - len(set(lines)), count_repeats(words), tokens, ratio, share, entropy, _script(text)))
     return [list(c) for c in zip(*rows)] if rows else [[] for _ in NAMES]
 
 
-#: Wide bands: what they reject is text that a vocabulary of many languages plainly doesn't fit.
+def _measured(data: bytes, words: list[bytes], model: WordTokens) -> tuple:
+    n, size = len(words), sum(map(len, words))
+    text = data.decode("utf-8", "replace")
+    spaces = len(data) - size
+    lines = [x for x in data.split(b"\n") if x.strip()]
+    symbols = len(data) - len(data.translate(None, _SYMBOLS))
+    ids = np.frombuffer(b"".join(map(model.memo.__getitem__, words)), np.int32)
+    tokens = len(ids)
+    if tokens:
+        counts = np.unique(ids, return_counts=True)[1]
+        entropy = float(math.log2(tokens) - (counts * np.log2(counts)).sum() / tokens)
+        ratio, share = (len(text) - spaces) / tokens, float(model.is_byte[ids].mean())
+    else:
+        entropy = ratio = share = None
+    return n, len(text) - spaces, symbols, len(lines) - len(set(lines)), count_repeats(words), tokens, ratio, share, entropy, _script(text)
+
+
+#: Wide bands: what they reject is text that a vocabulary of many languages plainly doesn't fit. Latin prose
+#: takes one to three tokens a word; 3.5 is reached where signs or codes are strewn over the words.
 SCRIPT_BANDS = {
-    "latin": Band((1.2, 8.0), 0.10, (0.35, 1.0)),
+    "latin": Band((1.2, 8.0), 0.10, (0.35, 1.0), 3.5),
     "greek": Band((0.7, 4.0), 0.10, (0.25, 1.0)),
-    "cyrillic": Band((1.0, 6.0), 0.10, (0.3, 1.0)),
+    "cyrillic": Band((1.0, 6.0), 0.10, (0.3, 1.0), 5.0),
     "hebrew": Band((0.6, 4.0), 0.20, (0.2, 1.0)),
     "arabic": Band((0.6, 4.0), 0.20, (0.2, 1.0)),
     "indic": Band((0.3, 4.0), 0.90, (0.15, 1.0)),
@@ -121,7 +129,7 @@ SCRIPT_BANDS = {
     "cjk": Band((0.25, 3.0), 0.75, (0.2, 1.0)),
     "none": Band((0.25, 12.0), 0.90, (0.2, 1.0)),
 }
-LANGUAGE_BANDS = {"en": Band((1.4, 8.0), 0.05, (0.35, 1.0))}
+LANGUAGE_BANDS = {"en": Band((1.4, 8.0), 0.05, (0.35, 1.0), 3.5)}
 
 
 def within_bands(lang: Column | None, languages: dict[str, Band], scripts: dict[str, Band]) -> Column:
@@ -129,7 +137,8 @@ def within_bands(lang: Column | None, languages: dict[str, Band], scripts: dict[
     share = F.col("entropy") / F.log2(F.greatest(F.col("n_tokens"), F.lit(2)))
 
     def inside(b: Band) -> Column:
-        return F.col("chars_per_token").between(*b.chars) & (F.col("byte_share") <= b.byte_share) & share.between(*b.entropy)
+        fits = F.col("chars_per_token").between(*b.chars) & (F.col("byte_share") <= b.byte_share) & share.between(*b.entropy)
+        return fits & (F.col("n_tokens") <= F.col("n_words") * b.per_word) if math.isfinite(b.per_word) else fits
 
     by_script = F.coalesce(*[F.when(F.col("script") == k, inside(b)) for k, b in scripts.items()], F.lit(True))
     if lang is None or not languages:
@@ -146,8 +155,8 @@ def quality_rules(
     """``df`` with METRICS, ``base_failed`` and ``kept``, replacing columns of those names.
 
     base_failed: fewer than ``min_words`` words, or over ``max_repeat_percent`` of them in repeated
-    3-word windows. kept: not base_failed, and characters per token, byte-fallback share and token
-    entropy within the band of the row's language or, if it has none (or null), of its script. Words
+    3-word windows. kept: not base_failed, and characters per token, byte-fallback share, token
+    entropy and tokens per word within the band of the row's language or, if it has none (or null), of its script. Words
     are encoded on their own, so fertility is a sum over words. A null text has no words: it fails. No
     shuffle: every row is measured where it is read.
     """
