@@ -14,29 +14,33 @@ from millrace.llm.queries_mixing import LIMIT, SEED, WEIGHTS
 from millrace.llm.queries_packing import packed
 from millrace.llm.quality import quality_rules
 from millrace.llm.secrets import redacted
-from millrace.llm.shared import stage
+from millrace.llm.shared import set_aside, stage
 from millrace.llm.simhash import keep_one
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return quality_rules(docs).where("kept").select(*docs.columns)
+    """Documents that the quality rules keep; null and empty texts go."""
+    rows, back = set_aside(docs, ("text", "lang"))
+    return quality_rules(rows).where("kept").select(*back)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, of the least id, of each group of near copies."""
-    return keep_one(docs)
+    """One document, of the least id, of each group of near copies; a null id stays where its group has no other."""
+    rows, back = set_aside(docs, ("doc_id", "text"))
+    return keep_one(rows).select(*back)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their secrets replaced by the secret's kind; n_chars follows the text."""
+    """Documents with their secrets replaced by the secret's kind; n_chars follows the text, null with it."""
     clean = docs.withColumn("text", redacted(F.col("text")))
-    return clean.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of its source takes it."""
-    return take(mix(docs, word_count(F.col("text")), WEIGHTS, LIMIT, SEED, tie=F.xxhash64("text")), docs.columns)
+    rows, back = set_aside(docs, ("doc_id", "text", "source"))
+    mixed = mix(rows, word_count(F.col("text")), WEIGHTS, LIMIT, SEED, tie=F.xxhash64("text"))
+    return take(mixed, rows.columns).select(*back)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -88,7 +88,8 @@ def _count(table: DataFrame, probes: dict[tuple[int, ...], list[int]]) -> dict[t
 
     sums = {prefix: ([0] * (len(at) + 1), [0] * (len(at) + 1)) for prefix, at in groups}
     counted = table.select(*KEYS, WEIGHT).mapInArrow(gaps, "g long, i long, w long, r long").groupBy("g", "i").agg(F.sum("w").alias("w"), F.sum("r").alias("r"))
-    for g, i, w, r in counted.collect():  # at most a row for each probe
+    found = counted.toArrow()  # at most a row for each probe
+    for g, i, w, r in zip(*[found[c].to_pylist() for c in ("g", "i", "w", "r")]):
         sums[groups[g][0]][0][i], sums[groups[g][0]][1][i] = w, r
     return sums
 

@@ -1,69 +1,18 @@
-"""What the operators of this subpackage share: the shared work folder, staged tables, Arrow UDFs."""
+"""What the operators of this subpackage share: staged tables, column names, Arrow UDFs."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
-import pyarrow.fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import _parse_datatype_string
 
-_run_dirs: dict[str, str] = {}
+from millrace.sources.staging import filesystem, new_path, stage, work_dir
 
-
-def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a URI and the path in it; runs on the driver and in workers."""
-    if "://" not in uri and not uri.startswith("file:"):
-        return pafs.LocalFileSystem(), uri
-    if uri.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
-    return pafs.FileSystem.from_uri(uri)
-
-
-def work_dir(spark: SparkSession) -> str:
-    """This application's folder inside ``spark.checkpoint.dir``, which every executor can reach.
-
-    Only where that setting is absent and the master is local (tests) is a folder made here;
-    on a cluster without it this raises.
-    """
-    app = spark.sparkContext.applicationId
-    if app not in _run_dirs:
-        root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext._conf.get("spark.checkpoint.dir")
-        if not root:
-            if not spark.sparkContext.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir names no shared folder")
-            root = "file://" + tempfile.mkdtemp(prefix="millrace-")
-            spark.sparkContext.setCheckpointDir(root)
-        _run_dirs[app] = f"{root.rstrip('/')}/millrace-{app}-{uuid.uuid4().hex[:8]}"
-        atexit.register(_remove, _run_dirs[app])
-    return _run_dirs[app]
-
-
-def _remove(uri: str) -> None:
-    fs, path = filesystem(uri)
-    if fs.get_file_info(path).type == pafs.FileType.Directory:
-        fs.delete_dir(path)
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: lineage ends there.
-
-    Losing an executor afterwards costs nothing that was staged.
-    """
-    path = new_path(df.sparkSession, name)
-    writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["ascii_bytes", "drop_names", "filesystem", "new_path", "set_aside", "stage", "struct_udf", "work_dir"]
 
 
 def drop_names(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -73,6 +22,13 @@ def drop_names(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in keep])
 
 
+def set_aside(df: DataFrame, used: Sequence[str]) -> tuple[DataFrame, list[Column]]:
+    """``df`` with all columns but ``used`` renamed out of an operator's way, and the columns that undo it."""
+    away = {c: f"__mr_aside_{i}" for i, c in enumerate(df.columns) if c not in used}
+    renamed = df.select(*[F.col(f"`{c}`").alias(away.get(c, c)) for c in df.columns])
+    return renamed, [F.col(f"`{away.get(c, c)}`").alias(c) for c in df.columns]
+
+
 def struct_udf(fn: Callable[[list], list], schema: str, column: Column) -> Column:
     """A struct column from ``fn(values) -> one list per field``, called once per Arrow batch.
 
