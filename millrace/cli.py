@@ -39,7 +39,7 @@ def parser() -> argparse.ArgumentParser:
             extra = {"action": "store_true"} if kind is bool else {"type": kind, "default": default, "required": flag in _REQUIRED}
             p.add_argument(f"--{flag}", help=text, **extra)
         if name == "corpus":
-            p.add_argument("--annotate", choices=["gemini"])
+            p.add_argument("--annotate", choices=("gemini",))
     return top
 
 

@@ -15,21 +15,33 @@ from .text import is_blank
 PER_SENTENCE, PER_WORD, OFFSET = 0.39, 11.8, 15.59
 
 
+def _words(c: Column) -> Column:
+    return F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}']+"), F.lit(0))
+
+
+def _sentences(c: Column) -> Column:
+    return F.greatest(F.regexp_count(c, F.lit(r"[.!?]+")), F.lit(1))
+
+
+def _syllables(words: Column) -> Column:
+    return F.aggregate(words, F.lit(0), lambda total, w: total + F.greatest(F.regexp_count(w, F.lit("[aeiouy]+")), F.lit(1)))
+
+
 def counts(c: Column) -> tuple[Column, Column, Column]:
     """Words, sentences and syllables."""
-    words = F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}']+"), F.lit(0))
-    n = F.size(words)
-    sentences = F.greatest(F.regexp_count(c, F.lit(r"[.!?]+")), F.lit(1))
-    syllables = F.aggregate(words, F.lit(0), lambda total, w: total + F.greatest(F.regexp_count(w, F.lit("[aeiouy]+")), F.lit(1)))
-    return n, sentences, syllables
+    return F.size(_words(c)), _sentences(c), _syllables(_words(c))
 
 
 def reading_grade(c: Column) -> Column:
     """The grade, null where there is no word."""
-    words, sentences, syllables = counts(c)
-    n = words.cast("double")
-    grade = F.lit(PER_SENTENCE) * (n / sentences) + F.lit(PER_WORD) * (syllables / n) - F.lit(OFFSET)
-    return F.when(~is_blank(c) & (words > 0), grade)
+
+    def grade(words: Column) -> Column:
+        n = F.size(words).cast("double")
+        known = F.lit(PER_SENTENCE) * (n / _sentences(c)) + F.lit(PER_WORD) * (_syllables(words) / n) - F.lit(OFFSET)
+        return F.when(n > 0, known)
+
+    # one element's transform binds the words, so that they are found once
+    return F.when(~is_blank(c), F.element_at(F.transform(F.array(_words(c)), grade), 1))
 
 
 def is_middle_school_level(c: Column) -> Column:

@@ -24,6 +24,7 @@ TOPICS = tuple((
     "Personal Journeys & Life Events;Physical Sciences;Social Sciences;Work Life & Career"
 ).split(";"))
 EDUCATION_LEVELS = tuple("primary school;middle school;high school;university degree;PhD degree".split(";"))
+MODEL, MOST_CHARACTERS = "gemini-2.5-flash-lite", 15_000
 
 
 def _schema(spec: str | T.StructType) -> T.StructType:
@@ -127,7 +128,7 @@ class LLMAnnotator(BaseAnnotator):
 
     output_schema = "topic string, education string"
 
-    def __init__(self, client_factory: Callable[[], Callable[[str], str]], max_text_length: int = 15_000) -> None:
+    def __init__(self, client_factory: Callable[[], Callable[[str], str]], max_text_length: int = MOST_CHARACTERS) -> None:
         self.client_factory, self.max_text_length = client_factory, max_text_length
         self._client: Callable[[str], str] | None = None
 
@@ -138,16 +139,16 @@ class LLMAnnotator(BaseAnnotator):
         self._client = self.client_factory()
 
     def prompt(self, text: str) -> str:
-        if len(text) > self.max_text_length:
-            text = text[: self.max_text_length] + "..."
+        most = self.max_text_length
+        text = text if len(text) <= most else f"{text[:most]}..."
         return (
             f'Name the main topic of a text and the education its reader needs.\n\nText:\n"{text}"\n\nTopics, choose one: {list(TOPICS)}\n'
             f'Education, choose one: {list(EDUCATION_LEVELS)}\nReply with this JSON object alone: {{"topic": "...", "education": "..."}}'
         )
 
     def annotate(self, text: str | None) -> dict[str, str | None]:
-        if not text or text.isspace():
-            return {"topic": None, "education": None}
+        if text is None or not text.strip():
+            return dict.fromkeys(("topic", "education"))
         if self._client is None:
             self.open()
         try:
@@ -164,12 +165,12 @@ class LLMAnnotator(BaseAnnotator):
 class GeminiAnnotator(LLMAnnotator):
     """LLMAnnotator over the google-generativeai client; key from the argument, GOOGLE_API_KEY or MY_API_KEY."""
 
-    def __init__(self, api_key: str | None = None, model_name: str = "gemini-2.5-flash-lite", max_text_length: int = 15_000, temperature: float = 0.1, max_output_tokens: int = 50) -> None:
+    def __init__(self, api_key: str | None = None, model_name: str = MODEL, max_text_length: int = MOST_CHARACTERS, temperature: float = 0.1, max_output_tokens: int = 50) -> None:
         try:
             import google.generativeai  # noqa: F401
         except ImportError:
             raise ImportError("GeminiAnnotator needs the google-generativeai package") from None
-        key = api_key or os.getenv("GOOGLE_API_KEY") or os.getenv("MY_API_KEY")
+        key = next(filter(None, (api_key, *map(os.getenv, ("GOOGLE_API_KEY", "MY_API_KEY")))), None)
         if not key:
             raise ValueError("no API key: pass api_key or set GOOGLE_API_KEY")
 

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from millrace.functions.readability import reading_grade
 
+MAX_GRADE = 8.0
+
 
 def require_column(df: DataFrame, text_column: str) -> None:
     """Raise before any work if the text column is missing."""
     if text_column not in df.columns:
-        raise ValueError(f"Text column '{text_column}' is not in the table. Available columns: {df.columns}")
+        raise ValueError(f"no text column {text_column!r}; the table has {df.columns}")
 
 
 def keyword_predicate(c: Column, keywords: Sequence[str], literal: bool = False) -> Column:
@@ -34,7 +36,7 @@ def filter_by_keywords(df: DataFrame, keywords: Sequence[str], text_column: str
     return df.where(keyword_predicate(F.col(text_column), keywords, literal)) if keywords else df
 
 
-def filter_by_readability(df: DataFrame, max_grade: float = 8.0, text_column: str = "text", grade: Callable[[Column], Column] = reading_grade) -> DataFrame:
+def filter_by_readability(df: DataFrame, max_grade: float = MAX_GRADE, text_column: str = "text", grade: Callable[[Column], Column] = reading_grade) -> DataFrame:
     """Rows with a grade of at most ``max_grade``; texts without one are dropped."""
     return df.where(grade(F.col(text_column)) <= max_grade)
 

@@ -67,7 +67,7 @@ def generate_stats(df: DataFrame, text_column: str = "text") -> dict[str, Any]:
             floating = isinstance(f.dataType, (T.DoubleType, T.FloatType))
             aggregates |= {f"{i}.{k}": a for k, a in numeric_aggregates(c, floating).items()}
     row = df.agg(*[c.alias(k) for k, c in aggregates.items()]).first().asDict()
-    stats: dict[str, Any] = {"total_rows": row["rows"], "total_columns": len(df.columns), "columns": df.columns}
+    stats: dict[str, Any] = {"columns": df.columns, "total_columns": len(df.columns), "total_rows": row["rows"]}
     if text_column in df.columns:
         stats["text_stats"] = {k[5:]: v for k, v in row.items() if k.startswith("text.")}
     stats["column_stats"] = {}

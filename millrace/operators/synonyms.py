@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterable, Iterator, Mapping
+from os import PathLike
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,7 @@ from millrace.scalar import preserve_case_like
 NATIVE_ENTRIES = 16
 _PIECE = rf"{WORD}|[^\p{{L}}\p{{N}}_]+"
 _WORD_RE = re.compile(r"\w+")
+Words = Mapping[str, str]
 
 
 class SynonymMapper:
@@ -26,12 +28,12 @@ class SynonymMapper:
     empty replaces it, in its case if ``preserve_case``. All else stays as it is.
     """
 
-    def __init__(self, mapping: Mapping[str, str] | None = None, preserve_case: bool = True) -> None:
-        self.mapping = {k.lower(): v.lower() for k, v in (mapping or {}).items()}
+    def __init__(self, mapping: Words | None = None, preserve_case: bool = True) -> None:
         self.preserve_case = preserve_case
+        self.mapping = {word.lower(): new.lower() for word, new in dict(mapping or ()).items()}
 
     @classmethod
-    def from_json(cls, path: str, preserve_case: bool = True) -> SynonymMapper:
+    def from_json(cls, path: str | PathLike, preserve_case: bool = True) -> SynonymMapper:
         with open(path, encoding="utf-8") as f:
             return cls(json.load(f), preserve_case)
 
@@ -40,10 +42,11 @@ class SynonymMapper:
 
     def add(self, synonym: str, canonical: str) -> SynonymMapper:
         """Add an entry in place; prefer ``with_entry``."""
-        self.mapping[synonym.lower()] = canonical.lower()
+        self.mapping.update({synonym.lower(): canonical.lower()})
         return self
 
     def simplify_line(self, s: str) -> str:
+        """One string rewritten on the driver or in a worker."""
         if not self.mapping:
             return s
 
@@ -53,8 +56,9 @@ class SynonymMapper:
 
         return _WORD_RE.sub(swap, s)
 
-    def simplify_iter(self, lines: Iterable[str]) -> Iterator[str]:
-        return map(self.simplify_line, lines)
+    def simplify_iter(self, texts: Iterable[str], /) -> Iterator[str]:
+        """Each of the strings rewritten."""
+        return map(self.simplify_line, texts)
 
     def column(self, c: Column) -> Column:
         """The rewritten text: natively for a small map, else by an Arrow UDF that carries the map."""

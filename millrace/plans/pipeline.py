@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from millrace.functions.text import is_blank, normalize
 from millrace.operators.annotate import BaseAnnotator
 from millrace.operators.dedup import arrival_order, dedup_keep_first
-from millrace.operators.filters import filter_by_keywords, filter_by_readability, require_column
+from millrace.operators.filters import MAX_GRADE, filter_by_keywords, filter_by_readability, require_column
 from millrace.operators.stats import StageCounts
 from millrace.operators.synonyms import SynonymMapper
 from millrace.sources import io
 
-_ORDER = "__mr_arrival"
+_ORDER, _NORMAL = "__mr_arrival", "__mr_normal"
 
 
 @dataclass(frozen=True)
@@ -41,7 +41,7 @@ class Plan:
     def with_keywords(self, keywords: Sequence[str], literal: bool = False) -> Plan:
         return replace(self, filters=(*self.filters, ("keywords", (tuple(keywords), literal)))) if keywords else self
 
-    def with_readability(self, max_grade: float = 8.0) -> Plan:
+    def with_readability(self, max_grade: float = MAX_GRADE) -> Plan:
         return replace(self, filters=(*self.filters, ("readability", max_grade)))
 
     def with_synonyms(self, mapper: SynonymMapper | Mapping[str, str]) -> Plan:
@@ -64,7 +64,9 @@ class Plan:
         if self.dedup:
             df = df.withColumn(_ORDER, order if order is not None else arrival_order())
         if self.normalize:
-            df = df.withColumn(self.text_column, normalize(text)).where(F.length(text) > 0)
+            # a generator keeps Catalyst from copying the patterns into every filter that follows
+            once = df.select("*", F.explode(F.array(normalize(text))).alias(_NORMAL))
+            df = once.withColumn(self.text_column, F.col(_NORMAL)).drop(_NORMAL).where(F.length(text) > 0)
             df = counts.watch(df, "normalized") if counts else df
             if self.dedup and self.early_dedup:
                 df = dedup_keep_first(df, self.text_column, F.col(_ORDER))
@@ -102,7 +104,7 @@ class DataPipeline:
         self.plan = self.plan.with_keywords(keywords)
         return self
 
-    def add_readability_filter(self, max_grade: float = 8.0) -> DataPipeline:
+    def add_readability_filter(self, max_grade: float = MAX_GRADE) -> DataPipeline:
         self.plan = self.plan.with_readability(max_grade)
         return self
 
@@ -126,9 +128,9 @@ class DataPipeline:
 
 
 def process_corpus(
-    input_path: str, output_path: str, *, text_column: str = "text", normalize: bool = True, keywords: Sequence[str] | None = None, max_grade: float | None = 8.0,
-    synonyms_map: Mapping[str, str] | None = None, synonyms_map_path: str | None = None, annotators: Sequence[Any] | None = None, dedup: bool = True,
-    generate_stats: bool = True, spark: SparkSession | None = None,
+    input_path: str, output_path: str, *, spark: SparkSession | None = None, generate_stats: bool = True, dedup: bool = True, normalize: bool = True,
+    keywords: Sequence[str] | None = None, max_grade: float | None = MAX_GRADE, annotators: Sequence[Any] | None = None,
+    synonyms_map_path: str | None = None, synonyms_map: Mapping[str, str] | None = None, text_column: str = "text",
 ) -> dict[str, Any]:
     """Read, prepare and write a corpus; returns its statistics, or {} without them.
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import is_alpha, lemma
-from millrace.sources.mappings import CEFRIndex, level_of
+from millrace.sources.mappings import DIFFICULT, EASY, CEFRIndex, level_of
 
 #: Easy word: formal words for it.
 SEED = {
@@ -72,7 +72,7 @@ class Vocabulary:
         rows = self.mapping.orderBy("from").collect()
         left = [r["headword"] for r in self.unmapped.orderBy("headword").collect()]
         (out / "synonyms.json").write_text(json.dumps({r["from"]: r["to"] for r in rows}, ensure_ascii=False, indent=2), encoding="utf-8")
-        with (out / "synonyms.csv").open("w", newline="", encoding="utf-8") as f:
+        with (out / "synonyms.csv").open("w", encoding="utf-8", newline="") as f:
             csv.writer(f).writerows([self.mapping.columns, *[[x or "" for x in r] for r in rows]])
         (out / "unmapped.txt").write_text("".join(f"{w}\n" for w in left), encoding="utf-8")
         found = {"targets": self.targets.count(), "mapped": len(rows), "unmapped": len(left)}
@@ -86,7 +86,7 @@ class Vocabulary:
 
 
 def build_vocabulary(
-    index: CEFRIndex, thesaurus: DataFrame | None = None, easy_levels: Sequence[str] = ("A1", "A2"), difficult_levels: Sequence[str] = ("B2", "C1", "C2"),
+    index: CEFRIndex, thesaurus: DataFrame | None = None, easy_levels: Sequence[str] = EASY, difficult_levels: Sequence[str] = DIFFICULT,
     include_b1: bool = False, allow_multiword: bool = False, min_alpha_only: bool = False, seed: DataFrame | None = None,
 ) -> Vocabulary:
     """Map difficult words to easy ones; a manual pair goes before a synonym, and that before a base form.
@@ -111,7 +111,7 @@ def build_vocabulary(
     mapping = (
         named.join(ranks.select(F.col("headword").alias("from"), level_of(F.col("rank")).alias("from_cefr")), "from", "left")
         .join(ranks.select(F.col("headword").alias("to"), level_of(F.col("rank")).alias("to_cefr")), "to", "left")
-        .select("from", "to", "source", "from_cefr", "to_cefr")
+        .select(*"from to source from_cefr to_cefr".split())
     )
     unmapped = targets.select("headword").join(mapping.select(F.col("from").alias("headword")), "headword", "left_anti")
     options = {"WordNet used": thesaurus is not None, "Easy levels": ", ".join(easy_levels), "Difficult levels": ", ".join(levels)}

@@ -14,6 +14,7 @@ from millrace.operators.annotate import CustomFunctionAnnotator, ExpressionAnnot
 from millrace.operators.synonyms import SynonymMapper, canonical_by_synset, rewrite_by_join
 from millrace.plans.pipeline import Plan
 from millrace.plans.vocabulary import base_forms, best_synonyms, build_vocabulary, manual_pairs
+from millrace.sources.io import spread
 from millrace.sources.mappings import CEFRIndex, cefr_ranks
 from millrace.sources.staging import stage
 
@@ -33,7 +34,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 # The same definitions in SQL.
@@ -403,7 +404,8 @@ def annotate_native(spark, sf_dir):
 
 
 def _python_features(text):
-    return {"word_count": len(text.split()), "char_count": len(text), "sentence_count": max(1, sum(map(text.count, ".!?"))), "has_question": "?" in text, "has_numbers": any(map(text.__contains__, "0123456789"))}
+    signs = sum(map(text.count, ".!?"))
+    return {"sentence_count": max(1, signs), "has_question": "?" in text, "has_numbers": any(map(text.__contains__, "0123456789")), "char_count": len(text), "word_count": len(text.split())}
 
 
 @query(f"SELECT doc_id, {_FEATURES} FROM documents")

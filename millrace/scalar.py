@@ -11,7 +11,7 @@ from collections.abc import Iterable, Iterator, Sequence
 _OUTSIDE = re.compile(r"[^a-z0-9 ,.!?\n]+")
 _SIGNS = re.compile(r"[,.!?]*([,.!?])")
 _PADDED = re.compile(r"\s*([,.!?])\s*")
-_TOKEN = re.compile(r"[a-zA-Z]+(?:'[a-zA-Z]+)?|\d+|[^\w\s]")
+_TOKEN = re.compile(r"\d+|[a-zA-Z]+(?:'[a-zA-Z]+)?|[^\s\w]")
 _GLUED = ("n't", "'s", "'re", "'m", "'ve", "'d")
 _GRADE_WORD = re.compile(r"(?:[^\W_]|')+")
 ALPHA_RE = re.compile(r"[A-Za-z]+")
@@ -62,11 +62,12 @@ def simple_lemma_like(word: str) -> str:
 
 
 def preserve_case_like(source_token: str, replacement: str) -> str:
-    if source_token.isupper():
-        return replacement.upper()
+    """The replacement in the case of the source: all upper, title case, or as it is."""
     head, tail = source_token[:1], source_token[1:]
-    if tail and head.isupper() and tail.islower():
-        return " ".join(w[0].upper() + w[1:] for w in replacement.split())
+    if source_token.isupper():
+        replacement = replacement.upper()
+    elif tail and head.isupper() and tail.islower():
+        replacement = " ".join(w[0].upper() + w[1:] for w in replacement.split())
     return replacement
 
 

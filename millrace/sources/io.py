@@ -6,6 +6,7 @@ import json
 from collections.abc import Iterable, Sequence
 from pathlib import Path
 from typing import Any
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import number_of_characters, number_of_words
 from millrace.operators.stats import generate_stats
+from millrace.sources.staging import filesystem
 
 #: Name of the column of scan order that ``read_parquet(..., order=True)`` adds.
 ORDER = "__mr_scan"
@@ -36,10 +38,29 @@ def read_parquet(path: str | Sequence[str], text_column: str = "text", spark: Sp
             raise FileNotFoundError(f"no Parquet at {path}") from None
         raise
     if text_column not in df.columns:
-        raise ValueError(f"Required column '{text_column}' is not in {path}. Available columns: {df.columns}")
+        raise ValueError(f"no column {text_column!r} in {path}, which has {df.columns}")
     return df.withColumn(ORDER, F.struct("_metadata.file_path", "_metadata.row_index")) if order else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores if its files are too few and small for a scan to use them.
+
+    The rows of such a scan are exchanged once, round robin; at most a scan split a core is. A scan of
+    as many splits as cores, or anything but files, stays as it is. Filters and column lists still
+    reach the scan.
+    """
+    context = df.sparkSession.sparkContext
+    files = df.inputFiles()
+    if not files or len(files) >= context.defaultParallelism:
+        return df
+    split = int(df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    sizes = []
+    for uri in files:
+        fs, path = filesystem(unquote(uri))
+        sizes.append(fs.get_file_info(path).size or 0)
+    return df.repartition(context.defaultParallelism) if sum(-(-n // split) for n in sizes) < context.defaultParallelism else df
+
+
 def write_parquet(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Overwrite ``path``, a directory of part files; ``single_file`` for one part, of small results only."""
     (df.coalesce(1) if single_file else df).write.mode("overwrite").parquet(str(path))
@@ -111,7 +132,7 @@ def read_ndjson(path: str, text_column: str = "text", spark: SparkSession | None
     reader = _session(spark).read
     df = (reader.schema(schema) if schema else reader).json(path)
     if text_column not in df.columns:
-        raise ValueError(f"Required column '{text_column}' is not in {path}. Available columns: {df.columns}")
+        raise ValueError(f"no column {text_column!r} in {path}, which has {df.columns}")
     return df
 
 

@@ -14,6 +14,9 @@ from millrace.functions.text import normalize_token, strip
 from millrace.scalar import CEFR_ORDER
 from millrace.scalar import normalize_token as scalar_token
 
+#: Levels of easy words and of words to replace, unless a caller names others.
+EASY, DIFFICULT = ("A1", "A2"), ("B2", "C1", "C2")
+
 
 def load_mapping(path: str) -> dict[str, str]:
     """A word map from .json (kept whole) or .csv.
@@ -71,18 +74,18 @@ class CEFRIndex:
         row = self.ranks.where(F.col("headword") == scalar_token(word)).first()
         return None if row is None else row["rank"]
 
-    def is_easy(self, word: str, levels: Iterable[str] = ("A1", "A2")) -> bool:
+    def is_easy(self, word: str, levels: Iterable[str] = EASY) -> bool:
         rank = self.rank(word)
         return rank is not None and rank <= max(CEFR_ORDER[x] for x in levels)
 
-    def is_difficult(self, word: str, levels: Iterable[str] = ("B2", "C1", "C2")) -> bool:
+    def is_difficult(self, word: str, levels: Iterable[str] = DIFFICULT) -> bool:
         rank = self.rank(word)
         return rank is not None and rank >= min(CEFR_ORDER[x] for x in levels)
 
-    def easy(self, levels: Iterable[str] = ("A1", "A2")) -> DataFrame:
+    def easy(self, levels: Iterable[str] = EASY) -> DataFrame:
         """Words up to the highest of the levels."""
         return self.ranks.where(F.col("rank") <= max(CEFR_ORDER[x] for x in levels))
 
-    def difficult(self, levels: Iterable[str] = ("B2", "C1", "C2")) -> DataFrame:
+    def difficult(self, levels: Iterable[str] = DIFFICULT) -> DataFrame:
         """Words from the lowest of the levels on."""
         return self.ranks.where(F.col("rank") >= min(CEFR_ORDER[x] for x in levels))

@@ -10,10 +10,10 @@ from millrace.operators import dedup, filters, stats
 from millrace.operators.annotate import CustomFunctionAnnotator, ExpressionAnnotator, LLMAnnotator, parse_response, text_features
 from millrace.operators.synonyms import SynonymMapper, rewrite_by_join
 
-MAP = {"physician": "doctor", "demonstrate": "show", "utilize": "use", "commence": "start", "approximately": "about", "suffice": "", "Multi Word": "never"}
+MAP = {"vessel": "ship", "ascend": "climb", "employ": "use", "initiate": "begin", "roughly": "about", "perhaps": "", "Multi Word": "never"}
 LINES = {
-    "The physician will demonstrate the procedure.": "The doctor will show the procedure.", "We should UTILIZE all available resources.": "We should USE all available resources.",
-    "Commence the experiment when ready.": "Start the experiment when ready.", "Approximately five will suffice.": "About five will suffice.", "physicians multi word": "physicians multi word", "": "",
+    "A vessel can ascend the river.": "A ship can climb the river.", "They EMPLOY ropes.": "They USE ropes.", "Initiate it now.": "Begin it now.",
+    "Roughly nine, perhaps.": "About nine, perhaps.", "vessels multi word": "vessels multi word", "": "",
 }
 
 
@@ -99,7 +99,7 @@ def test_annotators_agree(spark):
     def features(s):
         words = (s or "").split()
         mean = round(sum(map(len, words)) / len(words), 1) if words else 0.0
-        return {"word_count": len(words), "char_count": len(s), "sentence_count": max(1, sum(map(s.count, ".!?"))), "avg_word_length": mean, "has_numbers": any(c.isdigit() for c in s), "has_question": "?" in s}
+        return {"has_question": "?" in s, "has_numbers": any(c.isdigit() for c in s), "avg_word_length": mean, "sentence_count": max(1, sum(map(s.count, ".!?"))), "char_count": len(s), "word_count": len(words)}
 
     schema = "word_count long, char_count long, sentence_count long, avg_word_length double, has_numbers boolean, has_question boolean"
     df = frame(spark, texts)

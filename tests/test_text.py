@@ -18,7 +18,7 @@ LEMMAS = {
     "bring": "bring", "needed": "need", "seeing": "se", "class": "clas", "was": "was", "cat": "cat", "": "", "es": "es",
 }
 CASES = {"DIFFICULT": "EASY", "Difficult": "Easy", "difficult": "easy", "I": "EASY", "U2": "EASY", "iPhone": "easy", "McDonald": "easy", "123": "easy"}
-SAMPLES = [*NORMALIZED, *LEMMAS, *CASES, "Don't worry, it's fine! The doctor's here.", "naïve_3", " a  b\nc ", "¿Qué? (x) [y] {z}", "x . y , z", "No. Yes! Maybe? 12 a1", None]
+SAMPLES = [*NORMALIZED, *LEMMAS, *CASES, "Can't stop, she's late! My sister's gone.", "naïve_3", " a  b\nc ", "¿Qué? (x) [y] {z}", "x . y , z", "No. Yes! Maybe? 12 a1", None]
 
 
 def column(spark, values, f):
@@ -45,11 +45,11 @@ def test_preserve_case_goldens(spark):
 
 
 def test_tokenize_and_detokenize(spark):
-    assert scalar.tokenize_basic("Don't worry, it's fine! The doctor's here.") == ["Don't", "worry", ",", "it's", "fine", "!", "The", "doctor's", "here", "."]
+    assert scalar.tokenize_basic("Can't stop, she's late! My sister's gone.") == ["Can't", "stop", ",", "she's", "late", "!", "My", "sister's", "gone", "."]
     assert scalar.tokenize_basic("naïve_3") == ["na", "ve", "3"]
     texts = [s for s in SAMPLES if s is not None]
     assert column(spark, texts, t.tokenize) == [scalar.tokenize_basic(s) for s in texts]
-    for tokens, joined in ((["Don't", "worry", ",", "it's", "fine", "!"], "Don't worry, it's fine!"), (["(", "a", ")"], "(a)"), (["x", "'s", "y"], "x's y")):
+    for tokens, joined in ((["Can't", "stop", ",", "she's", "late", "!"], "Can't stop, she's late!"), (["(", "a", ")"], "(a)"), (["x", "'s", "y"], "x's y")):
         assert scalar.detokenize_basic(tokens) == joined
     assert column(spark, texts, lambda c: t.detokenize(t.tokenize(c))) == [scalar.detokenize_basic(scalar.tokenize_basic(s)) for s in texts]
 
