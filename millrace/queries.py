@@ -14,9 +14,11 @@ from millrace.operators.annotate import CustomFunctionAnnotator, ExpressionAnnot
 from millrace.operators.synonyms import SynonymMapper, canonical_by_synset, rewrite_by_join
 from millrace.plans.pipeline import Plan
 from millrace.plans.vocabulary import base_forms, best_synonyms, build_vocabulary, manual_pairs
+from millrace.sources import io
 from millrace.sources.io import spread
 from millrace.sources.mappings import CEFRIndex, cefr_ranks
-from millrace.sources.staging import stage
+from millrace.sources.staging import new_path, stage
+from millrace.streaming.text import prepare_stream, write_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -466,3 +468,78 @@ def prepared_corpus(spark, sf_dir):
 def prepared_and_annotated(spark, sf_dir):
     annotator = ExpressionAnnotator(lambda c: {k: v for k, v in text_features(c).items() if k in ("word_count", "char_count")})
     return _PLAN.with_annotator(annotator).apply(docs(spark, sf_dir), order=F.col("doc_id")).select("doc_id", "word_count", "char_count")
+
+
+# -- sources, sinks and streams, over staged copies of the tables
+
+
+@query("SELECT doc_id, lang, source, n_chars FROM documents ORDER BY doc_id LIMIT 10")
+def preview(spark, sf_dir):
+    return docs(spark, sf_dir).select("doc_id", "lang", "source", "n_chars").orderBy("doc_id").limit(10)
+
+
+@query(f"SELECT title, text, CAST(length(text) AS BIGINT) AS number_of_characters, {words_sql('text')} AS number_of_words, 'N-A' AS topic, CAST(0 AS BIGINT) AS text_quality FROM (SELECT source AS title, text FROM documents)")
+def wiki_jsonl(spark, sf_dir):
+    """Articles from JSON lines, blank and broken lines among them."""
+    lines = docs(spark, sf_dir).select(F.to_json(F.struct(F.col("source").alias("title"), "text")).alias("value"))
+    bad = spark.createDataFrame([("",), ("  ",), ("{broken",)], "value string")
+    path = new_path(spark, "wiki")
+    dedup.union_all(lines, bad).write.text(path)
+    return io.read_wiki_jsonl(path, spark, "part-*").drop("filename")
+
+
+@query("SELECT doc_id, text FROM documents UNION ALL SELECT doc_id, text FROM documents")
+def shards(spark, sf_dir):
+    """Two shards, combined into one table and read again."""
+    folder = new_path(spark, "shards")
+    paths = io.shard_paths(folder, 0, 2)
+    for p in paths:
+        io.write_parquet(docs(spark, sf_dir).select("doc_id", "text"), p)
+    return io.read_parquet(io.combine_shards(paths, f"{folder}/all.parquet", spark), spark=spark)
+
+
+@query("SELECT CAST(1 AS BIGINT) AS line, lang FROM documents")
+def lines(spark, sf_dir):
+    """Text lines, each a row."""
+    path = new_path(spark, "lines")
+    docs(spark, sf_dir).select("lang").write.text(path)
+    return io.read_lines(path, spark, "lang").select(F.lit(1).cast("long").alias("line"), "lang")
+
+
+_NORMALIZED = f"(SELECT doc_id, {normalized_sql('text')} AS text FROM documents)"
+
+
+@query(f"""SELECT 'input' AS stage, count(*) AS rows FROM documents UNION ALL SELECT 'normalized', count(*) FROM {_NORMALIZED} WHERE text <> ''
+UNION ALL SELECT 'filter 1: keywords', count(*) FROM {_NORMALIZED} WHERE contains(text, 'the') UNION ALL SELECT 'deduplicated', count(DISTINCT text) FROM {_NORMALIZED} WHERE contains(text, 'the')""")
+def stage_counts(spark, sf_dir):
+    """Rows after each stage, observed by the run itself."""
+    counted = stats.StageCounts()
+    stage(Plan().with_keywords(["the"]).apply(docs(spark, sf_dir).select("doc_id", "text"), F.col("doc_id"), counted), "counted")
+    return spark.createDataFrame(list(counted.read().items()), "stage string, rows long")
+
+
+@query("""SELECT 'doc_id' AS col, 'Int64' AS dtype, count(*) FILTER (WHERE doc_id IS NULL) AS null_count, CAST(0 AS BIGINT) AS unique_values, CAST(max(doc_id) AS DOUBLE) AS max FROM documents
+UNION ALL SELECT 'lang', 'String', count(*) FILTER (WHERE lang IS NULL), count(DISTINCT lang) + max(CAST(lang IS NULL AS INT)), 0 FROM documents
+UNION ALL SELECT 'source', 'String', count(*) FILTER (WHERE source IS NULL), count(DISTINCT source) + max(CAST(source IS NULL AS INT)), 0 FROM documents
+UNION ALL SELECT 'n_chars', 'Int64', count(*) FILTER (WHERE n_chars IS NULL), 0, max(n_chars) FROM documents""")
+def stats_report(spark, sf_dir):
+    """The statistics report of a written table, a row a column."""
+    path = new_path(spark, "report")
+    io.write_parquet(docs(spark, sf_dir), path)
+    found = stats.generate_stats(spark.read.parquet(path))["column_stats"]
+    rows = [(c, s["dtype"], s["null_count"], s.get("unique_values", 0), float(s.get("max") or 0)) for c, s in found.items()]
+    return spark.createDataFrame(rows, "col string, dtype string, null_count long, unique_values long, max double")
+
+
+@query(f"SELECT doc_id, text FROM {_NORMALIZED} WHERE text <> '' AND contains(text, 'the')")
+def stream_prepared(spark, sf_dir):
+    """The stateless stages on a stream that takes what is there and stops."""
+    out = new_path(spark, "stream")
+    source = spark.readStream.schema("doc_id long, text string").parquet(f"{sf_dir}/documents.parquet*")
+    write_stream(prepare_stream(source, Plan(dedup=False).with_keywords(["the"])), f"{out}/rows", f"{out}/state").awaitTermination()
+    return spark.read.schema("doc_id long, text string").parquet(f"{out}/rows")
+
+
+@query(f"SELECT p_partkey, array_to_string(list_transform(list_filter(regexp_split_to_array(p_name, '{SPACE}+'), lambda w: w <> ''), lambda w: upper(w[1]) || w[2:]), ' ') AS title FROM part")
+def titlecase(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", t.titlecase(F.col("p_name")).alias("title"))

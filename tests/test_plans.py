@@ -86,6 +86,19 @@ def test_lines_and_ndjson(spark, tmp_path):
         io.read_ndjson(str(tmp_path / "a.json"), "body", spark)
 
 
+def test_spread_exchanges_only_small_scans(spark, tmp_path):
+    one, many = str(tmp_path / "one x"), str(tmp_path / "many")
+    spark.range(100).coalesce(1).write.parquet(one)
+    spark.range(100).repartition(9).write.parquet(many)
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    spread = io.spread(spark.read.parquet(one))
+    assert "RoundRobin" in plan(spread) and spread.count() == 100 and "PushedFilters: [IsNotNull(id), LessThan(id,5)]" in plan(spread.where("id < 5"))
+    assert "RoundRobin" not in plan(io.spread(spark.read.parquet(many))) and "RoundRobin" not in plan(io.spread(spark.range(5)))
+
+
 def test_load_mapping(tmp_path):
     def at(name, text):
         (tmp_path / name).write_text(text)
