@@ -116,10 +116,9 @@ def detokenize(spark, sf_dir):
 
 
 def _token_counts(spark, sf_dir):
-    """(w, n): lower-cased alphabetic tokens; counted before anything is done with them, and staged, for a
-    vocabulary is read many times."""
+    """(w, n): lower-cased alphabetic tokens; counted before anything is done with them."""
     rows = docs(spark, sf_dir).select(F.explode(t.tokenize(F.col("text"))).alias("w"))
-    return stage(rows.groupBy(F.lower("w").alias("w")).agg(F.count(F.lit(1)).alias("n")).where(t.is_alpha(F.col("w"))), "words")
+    return rows.groupBy(F.lower("w").alias("w")).agg(F.count(F.lit(1)).alias("n")).where(t.is_alpha(F.col("w")))
 
 
 _TOKENS = f"SELECT w, count(*) AS n FROM (SELECT lower(unnest({tokens_sql('text')})) AS w FROM documents) GROUP BY w HAVING regexp_full_match(w, '[A-Za-z]+')"
@@ -316,7 +315,8 @@ def _word_list(spark, sf_dir):
 
 
 def _index(spark, sf_dir):
-    return CEFRIndex(cefr_ranks(_word_list(spark, sf_dir)))
+    """Staged, for a vocabulary is read many times."""
+    return CEFRIndex(stage(cefr_ranks(_word_list(spark, sf_dir)), "ranks"))
 
 
 _RANKS = f"ranks AS MATERIALIZED (SELECT w AS headword, CAST((length(w) + ascii(w)) % 6 AS INT) AS rank FROM ({_TOKENS}))"
