@@ -136,7 +136,7 @@ def process_corpus(
 
     Keywords go before the readability filter, which is on unless ``max_grade`` is None.
     """
-    df = io.read_parquet(input_path, text_column, spark, order=True)
+    df = io.spread(io.read_parquet(input_path, text_column, spark, order=True))
     plan = Plan(text_column, normalize, dedup, early_dedup=True).with_keywords(list(keywords or ()))
     if max_grade is not None:
         plan = plan.with_readability(max_grade)
