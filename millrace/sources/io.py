@@ -50,8 +50,8 @@ def spread(df: DataFrame) -> DataFrame:
     reach the scan.
     """
     context = df.sparkSession.sparkContext
-    files = df.inputFiles()
-    if not files or len(files) >= context.defaultParallelism:
+    files = df._jdf.inputFiles()  # left in the JVM, for there may be many
+    if not 0 < len(files) < context.defaultParallelism:
         return df
     split = int(df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
     sizes = []
