@@ -2,9 +2,11 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.sources.io import spread
+
 from .licenses import scan_licenses
 
 
 def op2_license_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "text")
     return scan_licenses(docs).drop("text", "license_spans")

@@ -2,11 +2,13 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.sources.io import spread
+
 from .media import read_media, store_media
 from .shared import new_path
 
 
 def op6_chunked_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     directory = new_path(spark, "packs")
     return read_media(store_media(docs, directory), directory).withColumnRenamed("id", "doc_id")

@@ -3,13 +3,15 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.sources.io import spread
+
 from .mixing import mix, word_count
 
 WEIGHTS, LIMIT, SEED = (5, 2, 1), 3, "mix:"
 
 
 def op8_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", word_count(F.col("text")).alias("words"))
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "source", word_count(F.col("text")).alias("words"))
     return mix(docs.select("doc_id", "source", "words"), F.col("words"), WEIGHTS, LIMIT, SEED).select("doc_id", "size", "source_size", "target", "taken")
 
 

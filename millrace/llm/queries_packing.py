@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.sources.io import spread
+
 from .bpe import default_vocab
 from .packing import pack_documents
 
@@ -14,4 +16,4 @@ def packed(docs: DataFrame) -> DataFrame:
 
 
 def op4_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return packed(spread(spark.read.parquet(f"{sf_dir}/documents.parquet")))

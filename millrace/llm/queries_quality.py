@@ -2,10 +2,12 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.sources.io import spread
+
 from .quality import quality_rules
 
 
 def op5_tokenizer_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "text", "lang")
     base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return quality_rules(docs).select(*base, "n_tokens", "chars_per_token", "byte_share", "entropy", "script")

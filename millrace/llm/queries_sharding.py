@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.sources.io import spread
+
 from .sharding import histogram_shards
 
 SHARDS = 24
@@ -10,7 +12,7 @@ SHARDS = 24
 
 def op1_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).select(
         "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("tie")
     )
     sharded = histogram_shards(docs, "doc_id", F.col("size"), F.col("tie"), SHARDS)

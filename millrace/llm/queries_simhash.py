@@ -3,9 +3,11 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.sources.io import spread
+
 from .simhash import fingerprint_hex, near_duplicates
 
 
 def op10_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return near_duplicates(docs).select("doc_id", fingerprint_hex(F.col("fp")).alias("fingerprint"), "n_near", "component_id")

@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.sources.io import spread
+
 from .bpe import default_vocab
 from .planes import read_tokens, write_tokens
 from .shared import new_path
@@ -11,6 +13,6 @@ END_ID = 2
 
 
 def op3_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     files = write_tokens(docs, new_path(spark, "tokens"), default_vocab(), END_ID)
     return read_tokens(files).select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
