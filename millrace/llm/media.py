@@ -199,16 +199,55 @@ def chunk_index(manifests: DataFrame) -> DataFrame:
     return refs.groupBy("c.digest").agg(place, F.count(F.lit(1)).alias("uses"), F.first("c.length").alias("length"))
 
 
-def read_media(manifests: DataFrame, directory: str) -> DataFrame:
+def compact(index: DataFrame, stored: DataFrame, directory: str, most_dead: float = 0.25) -> DataFrame:
+    """Rewrite packs of whose bytes more than ``most_dead`` are chunks that the index reads elsewhere.
+
+    ``stored``: the places that packs hold (``stored_places``). Returns the index with the new places,
+    staged; the old packs can be deleted once nothing reads them. A task rewrites a pack, whose size is
+    bounded; new packs have names of their own, so a retry is harmless.
+    """
+    pack = F.col("at.pack").alias("pack")
+    live = index.groupBy(pack).agg(F.sum("length").alias("live"))
+    held = stored.groupBy("pack").agg(F.sum("length").alias("held"))
+    worn = held.join(live, "pack").where(F.col("live") < F.col("held") * (1 - most_dead)).select("pack")
+    flagged = index.select("*", pack).join(worn.withColumn("worn", F.lit(True)), "pack", "left")
+    moving = flagged.where("worn").select("pack", "digest", "uses", "length", F.col("at.segment").alias("segment"), F.col("at.offset").alias("offset"))
+
+    def rewrite(batches):
+        reader, writer = PackReader(directory), PackWriter(directory)
+        try:
+            for batch in batches:
+                places = []
+                for name, digest, length, segment, offset in zip(*[batch.column(c).to_pylist() for c in ("pack", "digest", "length", "segment", "offset")]):
+                    new = writer.add(digest, reader.chunk(name, segment, offset, length))
+                    places.append(dict(zip(("pack", "segment", "offset"), new)))
+                    writer.roll()
+                at = pa.array(places, pa.struct([("pack", pa.string()), ("segment", pa.int32()), ("offset", pa.int32())]))
+                yield pa.RecordBatch.from_arrays([batch.column("digest"), at, batch.column("uses"), batch.column("length")], names=["digest", "at", "uses", "length"])
+        finally:
+            writer.close()
+
+    schema = "digest binary, at struct<pack:string,segment:int,offset:int>, uses long, length int"
+    moved = moving.repartition("pack").sortWithinPartitions("pack", "segment", "offset").mapInArrow(rewrite, schema)
+    return stage(flagged.where("worn IS NULL").select("digest", "at", "uses", "length").unionByName(moved), "index")
+
+
+def stored_places(manifests: DataFrame) -> DataFrame:
+    """(pack, segment, offset, length) of every chunk that the packs hold."""
+    return manifests.select(F.explode("chunks").alias("c")).select("c.pack", "c.segment", "c.offset", "c.length").distinct()
+
+
+def read_media(manifests: DataFrame, directory: str, index: DataFrame | None = None) -> DataFrame:
     """Rebuild every payload from its chunk list and the index; verify it; return what the media holds.
 
     Rows: id, n_bytes, payload_bytes, payload_sha256, tail_crc32 (of the last 64 bytes), media_bytes and
     media_sha256 (of the WAV form: header and 8-bit samples), feature. Digests meet the index in a join
     on the digest, of small rows; a digest that most payloads share is left to adaptive skew handling.
-    Payloads are then read by home pack, so a task mostly reads its own packs in order.
+    Payloads are then read by home pack, so a task mostly reads its own packs in order. ``index`` is
+    the manifests' own if not given.
     """
     refs = manifests.select("row", F.posexplode("chunks").alias("place", "c")).select("row", "place", F.col("c.digest").alias("digest"), F.col("c.length").alias("length"))
-    index = chunk_index(manifests).select("digest", "at")
+    index = (chunk_index(manifests) if index is None else index).select("digest", "at")
     ordered = F.array_sort(F.collect_list(F.struct("place", "length", "at.pack", "at.segment", "at.offset")))
     lists = refs.join(index, "digest").groupBy("row").agg(ordered.alias("list"))
     kind = manifests.schema["id"].dataType.simpleString()

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import media
-from millrace.llm.media import chunk_index, cut_points, gear_hashes, payload_of, read_media, store_media, wav_header
+from millrace.llm.media import chunk_index, compact, cut_points, gear_hashes, payload_of, read_media, store_media, stored_places, wav_header
 from millrace.llm.queries_media import op6_chunked_media
 
 
@@ -69,6 +69,25 @@ def test_each_digest_is_read_from_one_place(spark, tmp_path, monkeypatch):
     assert read_media(manifests, f"{tmp_path}/p").count() == 12
 
 
+def test_worn_packs_are_rewritten(spark, tmp_path):
+    rnd = random.Random(4)
+    passage = "".join(rnd.choice("abcdefghij klmnop") for _ in range(40_000))
+    rows = [(i, passage if i % 3 else f"{passage} and {rnd.getrandbits(64)} " * 2) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    folder = f"{tmp_path}/p"
+    manifests = store_media(df, folder)
+    index, stored = chunk_index(manifests), stored_places(manifests)
+    new = compact(index, stored, folder, 0.1)
+    live = {r["pack"] for r in new.select("at.pack").distinct().collect()}
+    assert new.count() == index.count() and live != {r["pack"] for r in index.select("at.pack").distinct().collect()}
+    for path in (tmp_path / "p").iterdir():
+        if path.stem not in live:
+            path.unlink()
+    want = sorted((repr(i), *plain(t)) for i, t in rows)
+    assert sorted((repr(r["id"]), *(r[f] for f in FIELDS)) for r in read_media(manifests, folder, new).collect()) == want
+    assert compact(index.limit(0), stored.limit(0), folder).count() == 0
+
+
 def test_damage_is_noticed(spark, tmp_path):
     manifests = store_media(spark.createDataFrame([(1, "words " * 500)], "doc_id long, text string"), f"{tmp_path}/p")
     broken = manifests.withColumn("sha256", F.lit("0" * 64))
