@@ -5,12 +5,14 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 _run_dirs: dict[str, str] = {}
+_scratch: list[list[str]] = []
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -37,18 +39,33 @@ def work_dir(spark: SparkSession) -> str:
             root = "file://" + tempfile.mkdtemp(prefix="millrace-")
             spark.sparkContext.setCheckpointDir(root)
         _run_dirs[app] = f"{root.rstrip('/')}/millrace-{app}-{uuid.uuid4().hex[:8]}"
-        atexit.register(_remove, _run_dirs[app])
+        atexit.register(remove, _run_dirs[app])
     return _run_dirs[app]
 
 
-def _remove(uri: str) -> None:
+def remove(uri: str) -> None:
+    """Delete a folder, if it is there."""
     fs, path = filesystem(uri)
     if fs.get_file_info(path).type == pafs.FileType.Directory:
         fs.delete_dir(path)
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    if _scratch:
+        _scratch[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Paths made inside are deleted at the end: for work whose result is written elsewhere by then."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            remove(path)
 
 
 def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -11,7 +11,7 @@ from millrace.operators.annotate import CustomFunctionAnnotator, ExpressionAnnot
 from millrace.operators.synonyms import canonical_by_synset
 from millrace.plans.pipeline import DataPipeline, Plan, process_corpus
 from millrace.plans.vocabulary import SEED, build_vocabulary
-from millrace.sources import io
+from millrace.sources import io, staging
 from millrace.sources.mappings import CEFRIndex, load_mapping
 from millrace.streaming.text import prepare_stream, write_stream
 
@@ -99,6 +99,16 @@ def test_spread_exchanges_only_small_scans(spark, tmp_path):
     assert "RoundRobin" not in plan(io.spread(spark.read.parquet(many))) and "RoundRobin" not in plan(io.spread(spark.range(5)))
 
 
+def test_scratch_tables_go(spark):
+    kept = staging.stage(spark.range(3), "kept")
+    with staging.scratch():
+        inside = staging.stage(spark.range(4), "inside")
+        assert inside.count() == 4
+        path = staging.filesystem(inside.inputFiles()[0])[1]
+    fs = staging.filesystem(staging.work_dir(spark))[0]
+    assert fs.get_file_info(path).type.name == "NotFound" and kept.count() == 3
+
+
 def test_load_mapping(tmp_path):
     def at(name, text):
         (tmp_path / name).write_text(text)
