@@ -14,8 +14,10 @@ from millrace.llm.queries_mixing import LIMIT, SEED, WEIGHTS
 from millrace.llm.queries_packing import packed
 from millrace.llm.quality import quality_rules
 from millrace.llm.secrets import redacted
-from millrace.llm.shared import set_aside, stage
+from millrace.llm.shared import set_aside
 from millrace.llm.simhash import keep_one
+from millrace.sources.io import spread
+from millrace.sources.staging import new_path, remove, scratch
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,8 +57,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over documents. What a stage staged goes when its rows are written, and they when the next stage's are."""
+    docs, before = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")), None
     for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), name)
+        path = new_path(spark, name)
+        with scratch():
+            rows = function(spark, docs, sf_dir)
+            rows.write.parquet(path)
+        docs = spark.read.schema(rows.schema).parquet(path)
+        if before:
+            remove(before)
+        before = path
     return docs

@@ -61,7 +61,7 @@ def keyed(df: DataFrame, key: str, weight: Column, tie: Column) -> DataFrame:
     return stage(
         drop_names(df, (*KEYS, WEIGHT)).select(
             "*", F.coalesce(F.col(key).cast("long"), F.lit(LOW)).alias(KEYS[0]), tie.cast("long").alias(KEYS[1]),
-            F.monotonically_increasing_id().alias(KEYS[2]), weight.cast("long").alias(WEIGHT),
+            F.monotonically_increasing_id().alias(KEYS[2]), F.coalesce(weight.cast("long"), F.lit(0)).alias(WEIGHT),
         ),
         "keyed",
     )

@@ -214,7 +214,8 @@ def scan_licenses(df: DataFrame, text_col: str = "text", templates=TEMPLATES, ph
 
     labels: those of phrases found and of templates of which a chain covers 75 % (or 12 words).
     score: the largest share of a template that a chain covers, at least 0.5 where a phrase is. Spans
-    are in words, ends exclusive. A null text is empty: no words, score 0. Templates, not documents,
+    are in words, ends exclusive. A null text is empty: no words, score 0, no first or last place. Repeated
+    rows get equal results, an empty table stays empty. Templates, not documents,
     set the automaton's size. No shuffle: each text is streamed whole where it is read.
     """
     key = (tuple(templates), tuple(phrases.items()))

@@ -148,8 +148,8 @@ def store_media(df: DataFrame, directory: str, id_col: str = "doc_id", text_col:
     """Cut every payload and write its chunks to packs; returns the staged manifests.
 
     Each task writes a chunk once a pack. One manifest a row: its number, id, unpadded bytes, the
-    payload's SHA-256, the pack that holds most of it, and its chunks in order. Null and empty texts
-    are 64 zeros. Payloads don't travel: cutting, hashing and packing happen where a text is read.
+    payload's SHA-256, the pack of its first chunk, and its chunks in order. Null and empty texts
+    are 64 zeros; repeated rows, equal and null ids have a manifest each; an empty table gives none. Payloads don't travel: cutting, hashing and packing happen where a text is read.
     """
     kind = df.schema[id_col].dataType
 

@@ -157,8 +157,9 @@ def quality_rules(
     base_failed: fewer than ``min_words`` words, or over ``max_repeat_percent`` of them in repeated
     3-word windows. kept: not base_failed, and characters per token, byte-fallback share, token
     entropy and tokens per word within the band of the row's language or, if it has none (or null), of its script. Words
-    are encoded on their own, so fertility is a sum over words. A null text has no words: it fails. No
-    shuffle: every row is measured where it is read.
+    are encoded on their own, so fertility is a sum over words. A null or empty text has no words: it
+    fails. Texts of any length are measured whole, repeated rows alike, other columns (null or not) are
+    carried through, an empty table stays empty. No shuffle: every row is measured where it is read.
     """
     path = model_path or public_tokenizers.path(DEFAULT_MODEL)
     metric = struct_udf(lambda texts: measure(texts, path), METRICS, ascii_bytes(F.col(text_col)))

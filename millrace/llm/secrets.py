@@ -199,8 +199,9 @@ SCAN = "n_assign long, n_access long, n_hex long, base_sha256 string, spans stri
 def scan_secrets(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``df`` with SCAN's columns, replacing columns of those names.
 
-    Places are code points, ends exclusive. A null text counts as empty. No shuffle: each text is
-    scanned whole where it is read; a name's constant is known from its assignment on, in that text.
+    Places are code points, ends exclusive. A null text counts as empty: no spans. Repeated rows get equal
+    results, an empty table stays empty. No shuffle: each text, however long, is scanned whole where it is
+    read; a name's constant is known from its assignment on, in that text.
     """
     names = [f.split()[0] for f in SCAN.split(", ")]
     scan = struct_udf(lambda texts: list(zip(*map(scan_text, texts))) or [[]] * 5, SCAN, F.col(text_col))

@@ -22,7 +22,7 @@ def histogram_shards(df: DataFrame, key: str, size: Column, tie: Column, shards:
     row that crosses it. Order is key (null first), tie, arrival, so repeated rows and a key that
     holds much of the table are divided like any other rows. Shards larger than ``task_bytes`` are
     cut finer, so a task's part stays bounded whatever the number of shards. The rows are exchanged
-    once, straight to their parts. An empty table stays empty.
+    once, straight to their parts. A null size counts nothing; an empty table stays empty.
     """
     table = keyed(df, key, size, tie)
     total = table.agg(F.coalesce(F.sum(WEIGHT), F.lit(0))).first()[0]

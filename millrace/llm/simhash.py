@@ -202,6 +202,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``component_id`` (least id reachable). Rows with one fingerprint are one class throughout, so a
     group of copies of any size costs a row. A null or empty text has fingerprint 0 and links like
     any other; repeated rows count each; a null id stays a row and is least only where all are null.
+    An empty table gives an empty one.
     """
     def prints(data):
         return pa.array([fingerprint(x.as_py()) for x in data], pa.int64())
