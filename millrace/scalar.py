@@ -61,7 +61,7 @@ def simple_lemma_like(word: str) -> str:
     return next((cut() for suffix, least, cut in rules if n > least and word.endswith(suffix)), word)
 
 
-def preserve_case_like(source_token: str, replacement: str) -> str:
+def preserve_case_like(source_token, replacement):
     """The replacement in the case of the source: all upper, title case, or as it is."""
     head, tail = source_token[:1], source_token[1:]
     if source_token.isupper():

@@ -25,6 +25,12 @@ def _session(spark: SparkSession | None) -> SparkSession:
     return spark or SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
 
 
+def _require(df: DataFrame, column: str, path: Any) -> None:
+    names = df.columns
+    if column not in names:
+        raise ValueError(f"no column {column!r} in {path}, which has {names}")
+
+
 def read_parquet(path: str | Sequence[str], text_column: str = "text", spark: SparkSession | None = None, order: bool = False) -> DataFrame:
     """A Parquet table that must have ``text_column``; ``order`` adds file and row number as a struct.
 
@@ -37,8 +43,7 @@ def read_parquet(path: str | Sequence[str], text_column: str = "text", spark: Sp
         if "PATH_NOT_FOUND" in str(e):
             raise FileNotFoundError(f"no Parquet at {path}") from None
         raise
-    if text_column not in df.columns:
-        raise ValueError(f"no column {text_column!r} in {path}, which has {df.columns}")
+    _require(df, text_column, path)
     return df.withColumn(ORDER, F.struct("_metadata.file_path", "_metadata.row_index")) if order else df
 
 
@@ -131,8 +136,7 @@ def read_lines(path: str, spark: SparkSession | None = None, text_column: str =
 def read_ndjson(path: str, text_column: str = "text", spark: SparkSession | None = None, schema: str | None = None) -> DataFrame:
     reader = _session(spark).read
     df = (reader.schema(schema) if schema else reader).json(path)
-    if text_column not in df.columns:
-        raise ValueError(f"no column {text_column!r} in {path}, which has {df.columns}")
+    _require(df, text_column, path)
     return df
 
 
