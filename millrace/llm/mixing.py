@@ -15,8 +15,7 @@ OUTPUT = ("size", "source_size", "target", "copies", "taken")
 
 def word_count(text: Column) -> Column:
     """Number of runs without ASCII white space; null text: 0."""
-    flat = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " "))
-    return F.when(flat == "", 0).otherwise(F.length(flat) - F.length(F.replace(flat, F.lit(" "), F.lit(""))) + 1).cast("long")
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
 def targets(sizes: DataFrame, weights: Sequence[int], limit: int) -> DataFrame:
