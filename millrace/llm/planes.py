@@ -1,9 +1,9 @@
 """Token ids in files: fixed-size blocks transposed into byte or bit planes, each plane compressed.
 
 A file is ``MAGIC``, the blocks, a compressed table of documents, a JSON footer, the footer's length
-(8 bytes, little-endian) and ``MAGIC``. The footer has the ids' width, the block size, the plane kind,
-how many ids come before the file, and the chunk index: each block's place and its planes' lengths, so
-any range of ids is read from its own blocks alone.
+(8 bytes, little-endian) and ``MAGIC``. The footer has the ids' width, the block size, the plane kind and
+the chunk index: each block's place and its planes' lengths, so any range of ids is read from its own
+blocks alone.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import json
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -20,12 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import encoder
-from .histogram import KEYS, find_splitters, keyed
+from .histogram import KEYS, LOW, find_splitters, keyed
 from .shared import filesystem, stage
 
 MAGIC = b"MRPLANE1"
 BLOCK = 1 << 16
-FILE_TOKENS = 16 << 20
+#: Bytes of text that one file takes, but for a single larger one.
+FILE_BYTES = 56 << 20
 
 
 def to_planes(ids: np.ndarray, kind: str) -> list[bytes]:
@@ -49,13 +51,13 @@ def from_planes(planes: list[bytes], n: int, width: int, kind: str) -> np.ndarra
 class PlaneWriter:
     """Writes one file; nothing is at its place before ``close``, so a retried task may write it again."""
 
-    def __init__(self, uri: str, width: int = 2, block: int = BLOCK, kind: str = "byte", base: int = 0) -> None:
+    def __init__(self, uri: str, width: int = 2, block: int = BLOCK, kind: str = "byte") -> None:
         self.fs, self.path = filesystem(uri)
         self.fs.create_dir(self.path.rpartition("/")[0], recursive=True)
         self.temporary = f"{self.path}.{uuid.uuid4().hex}.tmp"
         self.out = self.fs.open_output_stream(self.temporary)
         self.out.write(MAGIC)
-        self.at, self.width, self.block, self.kind, self.base = len(MAGIC), width, block, kind, base
+        self.at, self.width, self.block, self.kind = len(MAGIC), width, block, kind
         self.zstd = zstandard.ZstdCompressor(level=3)
         self.held: list[bytes] = []
         self.n_held = self.n = 0
@@ -93,7 +95,7 @@ class PlaneWriter:
         docs = self.zstd.compress(docs)
         self.out.write(docs)
         footer = json.dumps({
-            "width": self.width, "block": self.block, "kind": self.kind, "base": self.base, "ids": self.n,
+            "width": self.width, "block": self.block, "kind": self.kind, "ids": self.n,
             "docs": [self.at, len(docs), len(self.doc_ids)], "index": self.index,
         }).encode()
         self.out.write(footer + len(footer).to_bytes(8, "little") + MAGIC)
@@ -176,24 +178,27 @@ def token_column(text: Column, vocab_path: str, end_id: int | None) -> Column:
 
 def write_tokens(
     df: DataFrame, directory: str, vocab_path: str, end_id: int | None, id_col: str = "doc_id", text_col: str = "text",
-    file_tokens: int = FILE_TOKENS, block: int = BLOCK, kind: str = "byte",
+    file_bytes: int = FILE_BYTES, block: int = BLOCK, kind: str = "byte",
 ) -> DataFrame:
     """Encode every text and write the ids to files in ascending id order; returns one row a file.
 
-    Texts are encoded once, into a staged table; exact counts then cut the order of (id, content,
-    arrival) into files of near ``file_tokens`` ids, whatever the ids' skew, and give how many ids
-    come before each. One exchange moves the compact ids. Ids are null-first; repeated rows follow
-    each other; a null text is empty; an empty table gives no file. Rows: file (from 0), path,
-    n_docs, n_tokens.
+    Exact counts of text bytes, on a narrow staged table, cut the order of (id, content, arrival) into
+    files of near ``file_bytes`` of text, whatever the ids' skew. Texts are then encoded where they are
+    read, and one exchange moves the compact ids to their files. Ids are null-first; repeated rows
+    follow each other, and where a boundary falls among wholly equal rows it matters not which go where;
+    a null text is empty; an empty table gives no file. Rows: file (from 0), path, n_docs, n_tokens,
+    start (ids of all files before it).
     """
     width = encoder(vocab_path).width
-    tokens = df.select(F.col(id_col).alias("id"), token_column(F.col(text_col), vocab_path, end_id).alias("t"), F.xxhash64(text_col).alias("tie"))
-    tokens = tokens.select("id", "tie", "t.n", "t.ids")
-    table = keyed(tokens, "id", F.col("n"), F.col("tie"))
-    total = table.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    parts = max(1, -(-total // file_tokens))
-    cuts = find_splitters(table, parts, 0.05)
-    starts = cuts.weights
+    own_id, text = F.col(id_col), F.col(text_col)
+    keys = keyed(df.select(own_id.alias("id"), (F.octet_length(F.coalesce(text, F.lit(""))) + 1).alias("w"), F.xxhash64(text).alias("tie")), "id", F.col("w"), F.col("tie"))
+    total = keys.agg(F.coalesce(F.sum("w"), F.lit(0))).first()[0]
+    parts = max(1, -(-total // file_bytes))
+    cuts = find_splitters(keys, parts, 0.05)
+    rows = df.select(
+        own_id.alias("id"), F.coalesce(own_id.cast("long"), F.lit(LOW)).alias(KEYS[0]), F.xxhash64(text).alias(KEYS[1]), F.monotonically_increasing_id().alias(KEYS[2]),
+        token_column(text, vocab_path, end_id).alias("t"),
+    )
 
     def write(batches):
         writer, number = None, None
@@ -203,7 +208,7 @@ def write_tokens(
                     if writer:
                         yield finish(writer, number)
                     number = part
-                    writer = PlaneWriter(f"{directory}/part-{part:06d}.planes", width, block, kind, starts[part])
+                    writer = PlaneWriter(f"{directory}/part-{part:06d}.planes", width, block, kind)
                 writer.add(doc_id, unsqueeze(ids, width) if n else b"")
         if writer:
             yield finish(writer, number)
@@ -213,8 +218,10 @@ def write_tokens(
         row = [[number], [f"{directory}/part-{number:06d}.planes"], [len(writer.doc_ids)], [writer.n]]
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, (pa.int32(), pa.string(), pa.int64(), pa.int64()))], names=["file", "path", "n_docs", "n_tokens"])
 
-    moved = table.withColumn("part", cuts.column()).repartitionById(parts, F.col("part")).sortWithinPartitions("part", *KEYS)
-    return stage(moved.select("part", "id", "n", "ids").mapInArrow(write, "file int, path string, n_docs long, n_tokens long"), "files")
+    moved = rows.withColumn("part", cuts.column()).select("part", "id", "t.n", "t.ids", *KEYS).repartitionById(parts, F.col("part")).sortWithinPartitions("part", *KEYS)
+    files = stage(moved.select("part", "id", "n", "ids").mapInArrow(write, "file int, path string, n_docs long, n_tokens long"), "files").orderBy("file").collect()
+    starts = accumulate((f["n_tokens"] for f in files), initial=0)
+    return df.sparkSession.createDataFrame([(*f, at) for f, at in zip(files, starts)], "file int, path string, n_docs long, n_tokens long, start long")
 
 
 def read_tokens(files: DataFrame) -> DataFrame:
@@ -225,11 +232,10 @@ def read_tokens(files: DataFrame) -> DataFrame:
 
     def read(batches):
         for batch in batches:
-            for path in batch.column("path").to_pylist():
-                reader = PlaneReader(path)
+            for path, base in zip(batch.column("path").to_pylist(), batch.column("start").to_pylist()):
                 rows: list[tuple] = []
-                for doc_id, start, ids in reader.documents():
-                    rows.append((doc_id, reader.footer["base"] + start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
+                for doc_id, start, ids in PlaneReader(path).documents():
+                    rows.append((doc_id, base + start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
                     if len(rows) == 10_000:
                         yield batch_of(rows)
                         rows = []
@@ -239,5 +245,5 @@ def read_tokens(files: DataFrame) -> DataFrame:
     def batch_of(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["id", "start", "n_tokens", "ids_crc32"])
 
-    n = max(1, files.count())
-    return files.select("file", "path").repartitionById(n, F.col("file").cast("int")).mapInArrow(read, "id long, start long, n_tokens long, ids_crc32 long")
+    last = files.agg(F.coalesce(F.max("file"), F.lit(0))).first()[0]
+    return files.select("file", "path", "start").repartitionById(last + 1, F.col("file")).mapInArrow(read, "id long, start long, n_tokens long, ids_crc32 long")
