@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import encoder
-from .histogram import KEYS, LOW, find_splitters, keyed
+from .histogram import KEYS, LOW, Splitters, find_splitters, keyed, place
 from .shared import filesystem, stage
 
 MAGIC = b"MRPLANE1"
@@ -159,21 +159,27 @@ def unsqueeze(data: bytes, width: int) -> bytes:
     return np.ascontiguousarray(rows.T).tobytes()
 
 
-def token_column(text: Column, vocab_path: str, end_id: int | None) -> Column:
-    """Struct (n, ids): count and squeezed ids of a text (null: empty), then ``end_id`` if given."""
+def token_column(text: Column, vocab_path: str, end_id: int | None, cuts: Splitters) -> Column:
+    """Struct (part, n, ids) of a row with KEYS: its part, and count and squeezed ids of its text (null: empty) and ``end_id``.
 
-    def run(texts: pa.Array) -> pa.Array:
+    One UDF for both, for each UDF of a stage has Python workers of its own, and every worker that
+    encodes keeps a memo.
+    """
+    keys = cuts.keys
+
+    def run(texts: pa.Array, a: pa.Array, b: pa.Array, c: pa.Array) -> pa.Array:
         enc = encoder(vocab_path)
         end = b"" if end_id is None else enc.pack([end_id])
+        parts = place(keys, *[x.to_numpy(zero_copy_only=False) for x in (a, b, c)])
         lengths, out = [], []
-        for k in range(0, len(texts), 512):
-            ids = [x + end for x in enc.encode([t or "" for t in texts.slice(k, 512).to_pylist()])]
+        for k in range(0, len(texts), 256):
+            ids = [x + end for x in enc.encode([t or "" for t in texts.slice(k, 256).to_pylist()])]
             lengths += [len(x) // enc.width for x in ids]
             out += [squeeze(x, enc.width) for x in ids]
-        return pa.StructArray.from_arrays([pa.array(lengths, pa.int64()), pa.array(out, pa.binary())], names=["n", "ids"])
+        return pa.StructArray.from_arrays([pa.array(parts, pa.int32()), pa.array(lengths, pa.int64()), pa.array(out, pa.binary())], names=["part", "n", "ids"])
 
-    run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
-    return F.arrow_udf(run, "n long, ids binary").asNondeterministic()(text)
+    run.__annotations__ = dict.fromkeys(("texts", "a", "b", "c", "return"), pa.Array)
+    return F.arrow_udf(run, "part int, n long, ids binary").asNondeterministic()(text, *KEYS)
 
 
 def write_tokens(
@@ -196,9 +202,9 @@ def write_tokens(
     parts = max(1, -(-total // file_bytes))
     cuts = find_splitters(keys, parts, 0.05)
     rows = df.select(
-        own_id.alias("id"), F.coalesce(own_id.cast("long"), F.lit(LOW)).alias(KEYS[0]), F.xxhash64(text).alias(KEYS[1]), F.monotonically_increasing_id().alias(KEYS[2]),
-        token_column(text, vocab_path, end_id).alias("t"),
+        own_id.alias("id"), text.alias("text"), F.coalesce(own_id.cast("long"), F.lit(LOW)).alias(KEYS[0]), F.xxhash64(text).alias(KEYS[1]), F.monotonically_increasing_id().alias(KEYS[2]),
     )
+    rows = rows.select("id", *KEYS, token_column(F.col("text"), vocab_path, end_id, cuts).alias("t")).select("id", *KEYS, "t.part", "t.n", "t.ids")
 
     def write(batches):
         writer, number = None, None
@@ -218,7 +224,7 @@ def write_tokens(
         row = [[number], [f"{directory}/part-{number:06d}.planes"], [len(writer.doc_ids)], [writer.n]]
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, (pa.int32(), pa.string(), pa.int64(), pa.int64()))], names=["file", "path", "n_docs", "n_tokens"])
 
-    moved = rows.withColumn("part", cuts.column()).select("part", "id", "t.n", "t.ids", *KEYS).repartitionById(parts, F.col("part")).sortWithinPartitions("part", *KEYS)
+    moved = rows.repartitionById(parts, F.col("part")).sortWithinPartitions("part", *KEYS)
     files = stage(moved.select("part", "id", "n", "ids").mapInArrow(write, "file int, path string, n_docs long, n_tokens long"), "files").orderBy("file").collect()
     starts = accumulate((f["n_tokens"] for f in files), initial=0)
     return df.sparkSession.createDataFrame([(*f, at) for f, at in zip(files, starts)], "file int, path string, n_docs long, n_tokens long, start long")
