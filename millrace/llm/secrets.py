@@ -27,8 +27,13 @@ _BARE = re.compile(r"""[^\s"'`,;#(){}\[\]<>]+""")
 _IDENT = re.compile(r"[A-Za-z_$][A-Za-z0-9_.$]*\Z")
 _JOIN = re.compile(r"[ \t]*(?:\+|\.(?=[ \t])|&|\.\.)[ \t]*(?:\\?\r?\n[ \t]*)?|[ \t]*(?=[\"'`])")
 _EMBEDDED = re.compile(r"\$\{([A-Za-z_][A-Za-z0-9_.]*)\}|\$\(?([A-Za-z_][A-Za-z0-9_]*)\)?|\{([A-Za-z_][A-Za-z0-9_]*)\}")
-_URL = re.compile(r"[A-Za-z][A-Za-z0-9+.-]{1,20}://[^\s:/@\"']{1,80}:([^\s:/@\"']{6,120})@")
-_ELEMENT = re.compile(r"<([A-Za-z][\w.-]{1,60})>\s*([^<>\s]{6,200})\s*</\1>")
+_URL = re.compile(r"[A-Za-z][A-Za-z0-9+.-]{1,20}://[^\s:/@\"']{1,80}:([^\s:/@\"']{6,})@")
+_ELEMENT = re.compile(r"<([A-Za-z][\w.-]{1,60})>([^<>]{6,})</\1>")
+#: What is left of a string literal after its opening quote; an opening quote closes any earlier literal of its kind,
+#: so a text's literals of one kind don't overlap and matching them all is linear.
+_REST = {q: re.compile(rf"(?s:[^{q}\\\n]|\\.)*+{q}") for q in "\"'"} | {"`": re.compile(r"(?s:[^`\\]|\\.)*+`")}
+_REST |= {q * 3: re.compile(rf"(?s:[^{q}\\]|\\.|{q}(?!{q}{q}))*+{q * 3}") for q in "\"'"}
+_PLAIN = re.compile(r"(?<!\S)[A-Za-z]{1,15}[,.;:!?]?(?!\S)")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 _STRONG = {
@@ -54,7 +59,8 @@ _PROSE = re.compile(
 )
 _ARTICLE = re.compile(r"(?:my|the|some)[ ](?=\S+\s+\S+\s+\S)", re.I)
 _MIXED = re.compile(r"[A-Za-z][0-9]|[0-9][A-Za-z]")
-_MOST = 4096
+#: Placeholders and short prose are told from a value's own text up to this length, all else from counts over the whole.
+_HEAD = 4096
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -78,51 +84,121 @@ def name_score(name: str) -> float:
     return score * (0.4 if parts and parts[-1] in _HARMLESS or parts and parts[0] == "public" else 1.0)
 
 
-def spaces_fit(name: str, value: str) -> bool:
+class Value:
+    """What a name is set to: pieces of the text and other values, measured only when a score asks for it.
+
+    A sum isn't built: counts add up, so constants that double line by line cost no more than their lines.
+    """
+
+    def __init__(self, text: str, parts: list, spans: list[tuple[int, int]], quoted: bool, runs: dict) -> None:
+        self.text, self.parts, self.spans, self.quoted = text, parts, spans, quoted  # parts: (start, end) or Value
+        self.runs = runs  # of a text: a bare run's end -> (start, counts) where it was last counted from
+        self.counts: Counter[str] | None = None
+
+    def measure(self) -> Value:
+        todo = [self]
+        while todo:
+            v = todo[-1]
+            if v.counts is None and (inner := [p for p in v.parts if isinstance(p, Value) and p.counts is None]):
+                todo += inner
+                continue
+            if todo.pop().counts is None:
+                v._add_up()
+        return self
+
+    def _add_up(self) -> None:
+        counts, self.n, self.head, self.last = Counter(), 0, "", ""
+        self.words = self.plain = 0
+        self.key, self.backquoted = False, any(s and self.text[s - 1] == "`" for s, _ in self.spans)
+        for p in self.parts:
+            if isinstance(p, Value):
+                counts.update(p.counts)
+                n, head, last, words, plain = p.n, p.head, p.last, p.words, p.plain
+                self.key, self.backquoted = self.key or p.key, self.backquoted or p.backquoted
+            elif not self.quoted:  # without white space; operators in a run start values with one end
+                (start, end), n, words, plain = p, p[1] - p[0], 1, 0
+                was = self.runs.get(end)
+                if was and was[0] <= start:
+                    own = was[1].copy()
+                    own.subtract(self.text[was[0] : start])
+                    own = +own
+                else:
+                    own = Counter(self.text[start:end])
+                self.runs[end] = start, own
+                counts.update(own)
+                head, last = self.text[start : min(end, start + _HEAD)], self.text[end - 1]
+            else:
+                body = self.text[p[0] : p[1]]
+                counts.update(body)
+                n, head, last, words, plain = len(body), body[:_HEAD], body[-1:], len(body.split()), len(_PLAIN.findall(body))
+                self.key = self.key or _PEM.search(body) is not None
+            self.n, self.words, self.plain, self.last = self.n + n, self.words + words, self.plain + plain, last or self.last
+            self.head += head[: _HEAD - len(self.head)] if self.n - n == len(self.head) else ""
+        self.counts, self.key = counts, self.key or _PEM.search(self.head) is not None
+
+    def all_spans(self, seen: set[int], found: set[tuple[int, int]]) -> None:
+        """Adds the spans of this value and of those in it, each value once a text."""
+        todo = [self]
+        while todo:
+            v = todo.pop()
+            if id(v) not in seen:
+                seen.add(id(v))
+                found.update(s for s in v.spans if s[1] > s[0])
+                todo += [p for p in v.parts if isinstance(p, Value)]
+
+
+def spaces_fit(name: str, value: Value) -> bool:
     """May a secret under this name hold white space? A passphrase may; under other strong names, what isn't prose."""
+    # a backquoted literal may not: tests/llm/test_scans.py holds that one such passphrase isn't reported
+    if name_score(name) < 1.0 or value.backquoted:
+        return False
     if "passphrase" in (low := re.sub("[^a-z]", "", name.lower())) or "passcode" in low:
-        return name_score(name) == 1.0
-    return name_score(name) == 1.0 and not (_PROSE.search(value) and not _MIXED.search(value))
+        return True
+    if value.n > 200:
+        return value.plain * 2 < value.words
+    return not (_PROSE.search(value.head) and not _MIXED.search(value.head))
 
 
-def value_score(value: str, quoted: bool, spaced: bool = False) -> float:
+def value_score(value: Value, quoted: bool, spaced: bool = False) -> float:
     """How much a literal looks like a secret: entropy, length and kinds of characters; placeholders: 0.
 
     White space counts against it unless ``spaced``.
     """
-    article = _ARTICLE.match(value) if spaced else None  # four words and more are no placeholder for their first one
-    if not 6 <= len(value) <= _MOST or _PLACEHOLDER.match(value[article.end() :] if article else value):
+    n, counts, head = value.n, value.counts, value.head
+    article = _ARTICLE.match(head) if spaced else None  # four words and more are no placeholder for their first one
+    if n < 6 or n <= _HEAD and _PLACEHOLDER.match(head[article.end() :] if article else head):
         return 0.0
-    counts, n = Counter(value), len(value)
-    entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
-    kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", r"[^A-Za-z0-9\s]"))
+    entropy = -sum(p * math.log2(p) for c in counts.values() if (p := c / n))
+    signs = "".join(counts)
+    kinds = sum(bool(re.search(p, signs)) for p in ("[a-z]", "[A-Z]", "[0-9]", r"[^A-Za-z0-9\s]"))
     score = min(1.0, entropy / 3.2) * (0.75 if kinds == 1 else 1.0)
-    if not spaced and re.search(r"\s", value):
+    if not spaced and re.search(r"\s", signs):
         score *= 0.4
-    if not quoted and (kinds == 1 and n < 16 or value.endswith((".", ":", ",")) or not re.search(r"[0-9]", value)):
+    if not quoted and (kinds == 1 and n < 16 or value.last in ".:," or not re.search(r"[0-9]", signs)):
         score *= 0.4
     return score
 
 
-def _string_end(text: str, at: int, quote: str) -> int:
-    """Where a string literal's content ends, or -1 if it isn't closed; single-quoted ones end with their line."""
-    k, limit = at, min(len(text), at + _MOST)
-    while k < limit:
-        if text.startswith(quote, k):
-            return k
-        if text[k] == "\\":
-            k += 1
-        elif text[k] == "\n" and len(quote) == 1 and quote != "`":
-            return -1
-        k += 1
-    return -1
+def is_secret(name: str, value: Value) -> bool:
+    sensitive = name_score(name)
+    if not sensitive and not (value.quoted and any(value.text.find("-----BEGIN", s, e) >= 0 for s, e in value.spans)):
+        return False  # most names: nothing to measure
+    value.measure()
+    return value.key or sensitive * value_score(value, value.quoted, spaces_fit(name, value)) >= THRESHOLD
 
 
-def lex(text: str) -> Iterator[tuple[str, list[tuple[str, str, int, int]]]]:
-    """Name-value pairs of source and configuration syntax; terms are (kind, text, start, end).
+def lex(text: str) -> Iterator[tuple[str, list[tuple[str, int, int]]]]:
+    """Name-value pairs of source and configuration syntax; terms are (kind, start, end).
 
-    Kinds: string, bare. A value may be a sum of terms; a bare term may be a name.
+    Kinds: string, bare. A value may be a sum of terms; a bare term may be a name. Linear in the text but for
+    operators within a sum's bare terms: the sum's rest is read again from each.
     """
+    run, last_end = (0, 0), [m.end() for m in _PEM_END.finditer(text)]
+
+    def key_end(at: int) -> int:
+        k = bisect_right(last_end, at)
+        return last_end[k] if k < len(last_end) and _PEM.match(text, at) else -1
+
     for m in _OPERATOR.finditer(text):
         name = _NAME.search(text, max(0, m.start() - 120), m.start())
         if not name:
@@ -132,23 +208,24 @@ def lex(text: str) -> Iterator[tuple[str, list[tuple[str, str, int, int]]]]:
             at += 1
         while True:
             if s := _STRING.match(text, at):
-                end = _string_end(text, s.end(), s[1])
-                if end < 0 and _PEM.match(text, s.end()) and (e := _PEM_END.search(text, s.end())):
-                    end = e.end()  # a key over several lines in single quotes, as in environment files
+                rest = _REST[s[1]].match(text, s.end())
+                # not closed in its line: a key over several lines in single quotes, as in environment files
+                end = rest.end() - len(s[1]) if rest else key_end(s.end())
                 if end < 0:
                     break
-                terms.append(("string", text[s.end() : end], s.end(), end))
+                terms.append(("string", s.end(), end))
                 at = end + len(s[1])
-            elif _PEM.match(text, at) and (e := _PEM_END.search(text, at)):
-                terms.append(("string", text[at : e.end()], at, e.end()))
-                at = e.end()
-            elif b := _BARE.match(text, at):
-                terms.append(("bare", b[0], at, b.end()))
-                at = b.end()
+            elif (end := key_end(at)) >= 0:
+                terms.append(("string", at, end))
+                at = end
+            elif run[0] <= at < run[1] or (b := _BARE.match(text, at)):
+                run = run if run[0] <= at < run[1] else b.span()
+                terms.append(("bare", at, run[1]))
+                at = run[1]
             else:
                 break
             j = _JOIN.match(text, at)
-            if not j or j[0] == "" and not (terms[-1][0] == "string" and _STRING.match(text, at)) or len(terms) > 32:
+            if not j or j[0] == "" and not (terms[-1][0] == "string" and _STRING.match(text, at)):
                 break
             if not j[0].strip() and terms[-1][0] != "string":
                 break
@@ -160,32 +237,38 @@ def lex(text: str) -> Iterator[tuple[str, list[tuple[str, str, int, int]]]]:
 def literal_spans(text: str) -> list[tuple[int, int]]:
     """(start, end) of the literals that reach a sensitive name, by constants propagated in order."""
     found: set[tuple[int, int]] = set()
-    known: dict[str, tuple[str, tuple[tuple[int, int], ...], bool]] = {}
+    known: dict[str, Value] = {}
+    sensitive: list[Value] = []
+    seen: set[int] = set()
+    runs: dict = {}
     if "=" in text or ":" in text:
         for name, terms in lex(text):
-            value, spans, quoted = "", [], False
-            for kind, body, start, end in terms:
-                if kind == "bare" and _IDENT.match(body) and body in known:
-                    value, spans, quoted = value + known[body][0], [*spans, *known[body][1]], quoted or known[body][2]
+            parts, spans, quoted = [], [], False
+            for kind, start, end in terms:
+                if kind == "bare" and _IDENT.match(text, start, end) and (ref := known.get(text[start:end])):
+                    parts.append(ref)
+                    quoted = quoted or ref.quoted
                     continue
+                at = start
                 if kind == "string":
                     quoted = True
-                    for e in _EMBEDDED.finditer(body):
-                        if (ref := e[1] or e[2] or e[3]) in known:
-                            spans += known[ref][1]
-                            body = body.replace(e[0], known[ref][0])
-                value += body
+                    for e in _EMBEDDED.finditer(text, start, end) if known else ():
+                        if ref := known.get(e[1] or e[2] or e[3]):
+                            parts += [(at, e.start()), ref]
+                            at = e.end()
+                parts.append((at, end))
                 spans.append((start, end))
-            value, spans = value[:_MOST], spans[:32]
-            known[name] = (value, tuple(spans), quoted)
-            # a backquoted literal keeps the penalty: tests/llm/test_scans.py holds that one such passphrase isn't reported
-            spaced = spaces_fit(name, value) and not any(text[s - 1] == "`" for s, _ in spans if s)
-            if _PEM.search(value) or name_score(name) * value_score(value, quoted, spaced) >= THRESHOLD:
-                found.update(s for s in spans if s[1] > s[0])
+            known[name] = value = Value(text, parts, spans, quoted, runs)
+            if is_secret(name, value):
+                sensitive.append(value)  # held, so that no id is used twice
+                value.all_spans(seen, found)
     if "://" in text:
         found.update(m.span(1) for m in _URL.finditer(text) if not _PLACEHOLDER.match(m[1]))
     if "</" in text:
-        found.update(m.span(2) for m in _ELEMENT.finditer(text) if name_score(m[1]) * value_score(m[2], True) >= THRESHOLD)
+        for m in _ELEMENT.finditer(text):
+            start, end = m.end(2) - len(m[2].lstrip()), m.start(2) + len(m[2].rstrip())
+            if end - start >= 6 and is_secret(m[1], Value(text, [(start, end)], [(start, end)], True, runs)):
+                found.add((start, end))
     return sorted(found)
 
 

@@ -1,5 +1,9 @@
 """Secrets that the lexer must report whole, by kind of value and by syntax."""
 
+import random
+import string
+import time
+
 import pytest
 
 from millrace.llm.secrets import literal_spans, redact_text
@@ -25,3 +29,36 @@ def test_values_with_white_space(text):
 
 def test_redacted_keys():
     assert redact_text(f'{{"private_key": "{ESCAPED}", "n": 1}}') == '{"private_key": "[literal]", "n": 1}'
+
+
+def noise(n: int, seed: int = 1) -> str:
+    return "".join(random.Random(seed).choices(string.ascii_letters + string.digits + "+/", k=n))
+
+
+LONG = noise(20_000)
+CHUNKS = [noise(16, k) for k in range(100)]
+WHOLE = {
+    f'keystore_secret = "{LONG}"': [LONG], f"signing_key: {LONG}\n": [LONG], f'secret = """{LONG}"""': [LONG], f'client_secret = `{LONG}`': [LONG],
+    f"<signingKey>{LONG[:900]}</signingKey>": [LONG[:900]], f"<clientSecret>\n  {LONG[:76]}\n  {LONG[76:152]}\n</clientSecret>": [f"{LONG[:76]}\n  {LONG[76:152]}"],
+    f"clone https://oauth2:{LONG[:700].replace('/', 'x')}@host/x": [LONG[:700].replace("/", "x")], "secret_key = " + " + ".join(f'"{c}"' for c in CHUNKS): CHUNKS,
+    "".join(f'c{k} = "{c}"\n' for k, c in enumerate(CHUNKS)) + "secret_key = " + " + ".join(f"c{k}" for k in range(100)): CHUNKS,
+    'password = """' + "The quiet mill of 1990 stood by the 3D river. " * 200 + '"""': [], 'secret = "' + "x" * 9000 + '"': [],
+    r'auth_secret = "aB3\"dE5\\" + "fG7hI9"': [r"aB3\"dE5\\", "fG7hI9"],
+}
+
+
+@pytest.mark.parametrize("text", WHOLE, ids=range(len(WHOLE)))
+def test_long_values_are_whole(text):
+    assert [text[a:b] for a, b in literal_spans(text)] == WHOLE[text]
+
+
+def test_constants_that_double():
+    text = 'a0 = "q8W2e4"\n' + "".join(f"a{k + 1} = a{k} + a{k}\n" for k in range(1000)) + "secret = a1000\n"
+    assert [text[a:b] for a, b in literal_spans(text)] == ["q8W2e4"]
+
+
+@pytest.mark.parametrize("part", ['a = "', "a = '", "a = `x", 'a = """', "a='''x", "token=", 'k = "\\', "a = `b = '''c = \"\"\"", "p=-----BEGIN PRIVATE KEY-----", '"x" + ', "<secret>aaaaaaa", "aa://b:cccccc"])
+def test_unclosed_texts_stay_linear(part):
+    began = time.process_time()
+    literal_spans(part * (100_000 // len(part)))
+    assert time.process_time() - began < 20
