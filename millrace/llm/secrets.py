@@ -26,6 +26,12 @@ _STRING = re.compile(r"""[bBrRuUfF]{0,2}("{3}|'{3}|"|'|`)""")
 _BARE = re.compile(r"""[^\s"'`,;#(){}\[\]<>]+""")
 _IDENT = re.compile(r"[A-Za-z_$][A-Za-z0-9_.$]*\Z")
 _JOIN = re.compile(r"[ \t]*(?:\+|\.(?=[ \t])|&|\.\.)[ \t]*(?:\\?\r?\n[ \t]*)?|[ \t]*(?=[\"'`])")
+_TYPED = re.compile(r"([A-Za-z_$][A-Za-z0-9_$]*)[?!]?[ \t]*:[ \t]*[A-Za-z_&*][A-Za-z0-9_.$&*' |?!,<>\[\]]*$")
+_DECLARED = re.compile(r"\b(?:var|const|let|val)[ \t]+([A-Za-z_][A-Za-z0-9_]*)[ \t]+[A-Za-z_*\[][A-Za-z0-9_.*\[\]]*[ \t]*$")
+_HEAD_OF_VALUE = re.compile(r"(?:\s*+(?:(?:new[ \t]+)?([A-Za-z_][A-Za-z0-9_.:]*+)!?\(|[(\[]))++\s*+(?=[bBrRuUfF]{0,2}[\"'`])|[ \t]*\\?\r?\n\s*+(?=[bBrRuUfF]{0,2}[\"'`])")
+_NEXT = re.compile(r"\s*(,)\s*(?:[A-Za-z_]\w*[ \t]*=[ \t]*)?|\s*\+?\s*")
+_LOOKUP = re.compile(r"env|get|config|lookup|read|fetch|param|setting", re.I)
+_BLOCK = re.compile(r"[ \t]*[|>][+0-9-]{0,2}[ \t]*(?:#[^\n]*)?\r?\n")
 _EMBEDDED = re.compile(r"\$\{([A-Za-z_][A-Za-z0-9_.]*)\}|\$\(?([A-Za-z_][A-Za-z0-9_]*)\)?|\{([A-Za-z_][A-Za-z0-9_]*)\}")
 _URL = re.compile(r"[A-Za-z][A-Za-z0-9+.-]{1,20}://[^\s:/@\"']{1,80}:([^\s:/@\"']{6,})@")
 _ELEMENT = re.compile(r"<([A-Za-z][\w.-]{1,60})>([^<>]{6,})</\1>")
@@ -200,8 +206,9 @@ def lex(text: str) -> Iterator[tuple[str, list[tuple[str, int, int]]]]:
         return last_end[k] if k < len(last_end) and _PEM.match(text, at) else -1
 
     for m in _OPERATOR.finditer(text):
-        name = _NAME.search(text, max(0, m.start() - 120), m.start())
-        if not name:
+        low = max(0, m.start() - 120)
+        names = [n[1] for p in ((_NAME, _TYPED, _DECLARED) if m[0] == "=" else (_NAME,)) if (n := p.search(text, low, m.start()))]
+        if not names:
             continue
         at, terms = m.end(), []
         while at < len(text) and text[at] in " \t":
@@ -230,8 +237,29 @@ def lex(text: str) -> Iterator[tuple[str, list[tuple[str, int, int]]]]:
             if not j[0].strip() and terms[-1][0] != "string":
                 break
             at = j.end()
-        if terms:
-            yield name[1], terms
+        inner = [] if terms and terms[0][0] == "string" else _inner(text, m.end())
+        if m[0] == ":" and (b := _BLOCK.match(text, m.end())):
+            line = text[text.rfind("\n", 0, m.start()) + 1 : m.start()]
+            deep = len(line) - len(line.lstrip(" \t")) + 1
+            if body := re.compile(rf"(?:[ \t]{{{deep},}}+[^\n]*+(?:\n|\Z)|[ \t]*+\r?\n)++").match(text, b.end()):
+                start, end = b.end() + len(body[0]) - len(body[0].lstrip()), b.end() + len(body[0].rstrip())
+                inner.append([("string", start, end)] if end > start else [])
+        for n in names:
+            yield from ((n, t) for t in (terms, *inner) if t)
+
+
+def _inner(text: str, at: int) -> list[list[tuple[str, int, int]]]:
+    """The literals, each a sum, behind opening brackets, a call's head or a line break; a lookup's key isn't one."""
+    found: list[list[tuple[str, int, int]]] = [[]]
+    head = _HEAD_OF_VALUE.match(text, at)
+    at = head.end() if head else -1
+    while at >= 0 and (s := _STRING.match(text, at)) and (rest := _REST[s[1]].match(text, s.end())):
+        found[-1].append(("string", s.end(), rest.end() - len(s[1])))
+        after = _NEXT.match(text, rest.end())
+        if after[1]:
+            found.append([])
+        at = after.end()
+    return found[1:] if head and head[1] and _LOOKUP.search(head[1]) else found
 
 
 def literal_spans(text: str) -> list[tuple[int, int]]:

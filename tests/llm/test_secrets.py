@@ -62,3 +62,18 @@ def test_unclosed_texts_stay_linear(part):
     began = time.process_time()
     literal_spans(part * (100_000 // len(part)))
     assert time.process_time() - began < 20
+
+
+V = "S3cret!pass9"
+SYNTAX = {
+    f'password: str = "{V}"': [V], f"const password: string = '{V}';": [V], f'val password: String = "{V}"': [V], f'let password: String? = "{V}"': [V], f'var password string = "{V}"': [V],
+    f'password: Optional[str] = "{V}"': [V], f'password = ("{V}")': [V], f'password = [\n  "{V}",\n]': [V], f'password =\n    "{V}"\n': [V], f'password = \\\n    "{V}"\n': [V],
+    "db_password: |\n  Zx9!kQ2@tail7Q\nnext: 1\n": ["Zx9!kQ2@tail7Q"], "a:\n  db_password: >-\n    Zx9!kQ2@tail7Q\n  next: 1\n": ["Zx9!kQ2@tail7Q"], f"private_key: |\n  {PEM.replace(chr(10), chr(10) + '  ')}\nnext: 1": [PEM.replace("\n", "\n  ")],
+    f"password = os.getenv('DB_PASS', '{V}')": [V], f'password = os.environ.get("DB_PASS", default="{V}")': [V], f'password = SecretStr("{V}")': [V], f'String password = new String("{V}");': [V],
+    'password = ("S3cret!pa"\n    "ss9xyz")': ["S3cret!pa", "ss9xyz"], 'password = os.getenv("DB_PASSWORD_9")': [], "password: str = None": [], "password:\n  value: 1\n": [],
+}
+
+
+@pytest.mark.parametrize("text", SYNTAX)
+def test_declaration_syntax(text):
+    assert [text[a:b] for a, b in literal_spans(text)] == SYNTAX[text]
