@@ -19,6 +19,9 @@ from millrace.llm.simhash import keep_one
 from millrace.sources.io import spread
 from millrace.sources.staging import new_path, remove, scratch
 
+#: Near copies: eight fingerprints a document, of which one pair lies within 3 bits.
+COPY_VIEWS, COPY_RADIUS = 8, 3
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; null and empty texts go."""
@@ -27,26 +30,41 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, of the least id, of each group of near copies; a null id stays where its group has no other."""
+    """One document, of the least id, of each group of near copies; a null id stays where its group has no other.
+
+    Near means within COPY_RADIUS bits in any of COPY_VIEWS fingerprints of the distinct words. Null and
+    empty texts are one group, repeated rows are copies; an empty table stays empty.
+    """
     rows, back = set_aside(docs, ("doc_id", "text"))
-    return keep_one(rows).select(*back)
+    return keep_one(rows, radius=COPY_RADIUS, views=COPY_VIEWS).select(*back)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their secrets replaced by the secret's kind; n_chars follows the text, null with it."""
+    """Documents with their secrets replaced by the secret's kind; n_chars follows the text, null with it.
+
+    An empty text has none; repeated rows are treated alike; an empty table stays empty.
+    """
     clean = docs.withColumn("text", redacted(F.col("text")))
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of its source takes it."""
+    """Each document as often as the mix of its source takes it.
+
+    A null source is a source of its own; null and empty texts have no words and cost nothing, ties and
+    repeated rows are ordered by content; an empty table stays empty.
+    """
     rows, back = set_aside(docs, ("doc_id", "text", "source"))
     mixed = mix(rows, word_count(F.col("text")), WEIGHTS, LIMIT, SEED, tie=F.xxhash64("text"))
     return take(mixed, rows.columns).select(*back)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' pieces in sequences of 1024 tokens."""
+    """The documents' pieces in sequences of 1024 tokens.
+
+    A null or empty text is its end token alone; repeated rows and null ids are documents of their own;
+    an empty table gives no piece.
+    """
     return packed(docs)
 
 
