@@ -1,8 +1,9 @@
 """Media columns by content-defined chunking: gear-hash cuts, a chunk store without repeats, verified reads.
 
-A payload is cut where a rolling hash of its last 32 bytes says so, so equal passages give equal
-chunks wherever they stand. Chunks go to pack files in compressed segments; each payload is a manifest,
-the ordered list of its chunks' digests; an index gives each digest the one place it is read from.
+A payload's media form is a WAV file. Its header is a chunk; its samples are cut where a rolling hash of
+the last 32 bytes says so, so equal passages give equal chunks wherever they stand. Chunks go to pack files
+in compressed segments; each payload is a manifest, the ordered list of its chunks' digests, which
+concatenate to the WAV file; an index gives each digest the one place it is stored at.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ from .shared import ascii_bytes, filesystem, stage
 
 MIN_CHUNK, MEAN_BITS, MAX_CHUNK = 512, 11, 8192
 SEGMENT, PACK = 64 << 10, 64 << 20
+#: Payloads that start in one pack at most: copies add none of its bytes.
+PACK_ROWS = 1 << 16
+HEADER = 44
 _GEAR = np.frombuffer(b"".join(hashlib.sha256(b"gear%d" % i).digest()[:4] for i in range(256)), "<u4")
 
 
@@ -73,20 +77,21 @@ class PackWriter:
     def _open(self) -> None:
         self.name = uuid.uuid4().hex
         self.out = self.fs.open_output_stream(f"{self.root}/{self.name}.pack")
-        self.at, self.raw, self.segment, self.fill, self.pending = 0, 0, [], 0, []
+        self.at, self.raw, self.segment, self.fill, self.pending, self.rows = 0, 0, [], 0, [], 0
         self.here: dict[bytes, tuple[str, int, int]] = {}
 
-    def add(self, digest: bytes, chunk: bytes) -> tuple[str, int, int]:
-        """The pack, segment number and offset in it of a chunk, stored once a pack."""
+    def add(self, digest: bytes, chunk: bytes) -> tuple[str, int, int, bool]:
+        """The pack, segment number and offset in it of a chunk, stored once a pack, and whether it is new there."""
         if self.out is None:
             self._open()
-        if digest not in self.here:
+        new = digest not in self.here
+        if new:
             if self.fill + len(chunk) > SEGMENT:
                 self._flush()
             self.here[digest] = (self.name, len(self.pending), self.fill)
             self.segment.append(chunk)
             self.fill += len(chunk)
-        return self.here[digest]
+        return *self.here[digest], new
 
     def _flush(self) -> None:
         if self.segment:
@@ -95,10 +100,12 @@ class PackWriter:
             self.pending.append((self.at, len(data)))
             self.at, self.raw, self.segment, self.fill = self.at + len(data), self.raw + self.fill, [], 0
 
-    def roll(self) -> None:
-        """Between payloads: end a full pack."""
-        if self.out is not None and self.raw >= PACK:
-            self.close()
+    def roll(self, rows: int = 0) -> None:
+        """Between payloads, of which ``rows`` were added since: end a full pack."""
+        if self.out is not None:
+            self.rows += rows
+            if self.raw >= PACK or self.rows >= PACK_ROWS:
+                self.close()
 
     def close(self) -> None:
         if self.out is not None:
@@ -141,14 +148,16 @@ class PackReader:
         return self.segments[key][offset : offset + length]
 
 
-MANIFEST = "row long, id {id}, n_bytes long, sha256 string, home string, chunks array<struct<digest:binary,length:int,pack:string,segment:int,offset:int>>"
+PLACE = "pack:string,segment:int,offset:int"
+MANIFEST = f"row long, id {{id}}, n_bytes long, sha256 string, home string, chunks array<struct<digest:binary,length:int,{PLACE},new:boolean>>"
+_ITEM = pa.struct([("digest", pa.binary()), ("length", pa.int32()), ("pack", pa.string()), ("segment", pa.int32()), ("offset", pa.int32()), ("new", pa.bool_())])
 
 
 def store_media(df: DataFrame, directory: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Cut every payload and write its chunks to packs; returns the staged manifests.
+    """Cut every payload's WAV form and write its chunks to packs; returns the staged manifests.
 
-    Each task writes a chunk once a pack. One manifest a row: its number, id, unpadded bytes, the
-    payload's SHA-256, the pack of its first chunk, and its chunks in order. Null and empty texts
+    Each task writes a chunk once a pack. One manifest a row: its number, id, unpadded bytes, the WAV
+    file's SHA-256, the pack of its first chunk, and its chunks in order. Null and empty texts
     are 64 zeros; repeated rows, equal and null ids have a manifest each; an empty table gives none. Payloads don't travel: cutting, hashing and packing happen where a text is read.
     """
     kind = df.schema[id_col].dataType
@@ -158,30 +167,28 @@ def store_media(df: DataFrame, directory: str, id_col: str = "doc_id", text_col:
         try:
             for batch in batches:
                 for k in range(0, batch.num_rows, 512):
-                    yield part(batch.slice(k, min(512, batch.num_rows - k)), packs)
-                    packs.roll()
+                    group = batch.slice(k, min(512, batch.num_rows - k))
+                    yield part(group, packs)
+                    packs.roll(group.num_rows)
         finally:
             packs.close()
 
     def part(batch, packs):
         payloads = [payload_of(t) for t in batch.column("data").to_pylist()]
-        shas, homes, sizes, chunks = [], [], [], []
+        shas, homes, chunks = [], [], []
         hashes, at = gear_hashes(np.frombuffer(b"".join(payloads), np.uint8)), 0
         for p in payloads:
-            own, start = [], 0
-            for end in cut_points(hashes[at : at + len(p)]):
-                piece = p[start:end]
+            header = wav_header(len(p))
+            ends = cut_points(hashes[at : at + len(p)])
+            own = []
+            for piece in (header, *(p[i:j] for i, j in zip([0, *ends], ends))):
                 digest = hashlib.sha256(piece).digest()[:20]
-                pack, segment, offset = packs.add(digest, piece)
-                own.append({"digest": digest, "length": end - start, "pack": pack, "segment": segment, "offset": offset})
-                start = end
+                own.append((digest, len(piece), *packs.add(digest, piece)))
             at += len(p)
-            shas.append(hashlib.sha256(p).hexdigest())
-            homes.append(own[0]["pack"])
-            sizes.append(len(p))
-            chunks.append(own)
-        item = pa.struct([("digest", pa.binary()), ("length", pa.int32()), ("pack", pa.string()), ("segment", pa.int32()), ("offset", pa.int32())])
-        columns = [batch.column("row"), batch.column("id"), batch.column("n_bytes"), pa.array(shas), pa.array(homes), pa.array(chunks, pa.list_(item))]
+            shas.append(hashlib.sha256(header + p).hexdigest())
+            homes.append(own[0][2])
+            chunks.append([dict(zip(_ITEM.names, c)) for c in own])
+        columns = [batch.column("row"), batch.column("id"), batch.column("n_bytes"), pa.array(shas), pa.array(homes), pa.array(chunks, pa.list_(_ITEM))]
         return pa.RecordBatch.from_arrays(columns, names=["row", "id", "n_bytes", "sha256", "home", "chunks"])
 
     data = ascii_bytes(F.col(text_col))
@@ -199,6 +206,24 @@ def chunk_index(manifests: DataFrame) -> DataFrame:
     return refs.groupBy("c.digest").agg(place, F.count(F.lit(1)).alias("uses"), F.first("c.length").alias("length"))
 
 
+def settle(manifests: DataFrame, directory: str) -> DataFrame:
+    """Make the store hold each digest once: packs with a chunk that the index reads elsewhere are rewritten
+    without it, and the old ones deleted once the new index is staged. Returns the index."""
+    index, worn = _compacted(chunk_index(manifests), stored_places(manifests), directory, 0.0)
+
+    def delete(batches):
+        fs, root = filesystem(directory)
+        for batch in batches:
+            for name in batch.column("pack").to_pylist():
+                path = f"{root}/{name}.pack"
+                if fs.get_file_info(path).is_file:  # a retried task finds some gone
+                    fs.delete_file(path)
+            yield batch
+
+    worn.mapInArrow(delete, "pack string").count()
+    return index
+
+
 def compact(index: DataFrame, stored: DataFrame, directory: str, most_dead: float = 0.25) -> DataFrame:
     """Rewrite packs of whose bytes more than ``most_dead`` are chunks that the index reads elsewhere.
 
@@ -206,10 +231,16 @@ def compact(index: DataFrame, stored: DataFrame, directory: str, most_dead: floa
     staged; the old packs can be deleted once nothing reads them. A task rewrites a pack, whose size is
     bounded; new packs have names of their own, so a retry is harmless.
     """
+    return _compacted(index, stored, directory, most_dead)[0]
+
+
+def _compacted(index: DataFrame, stored: DataFrame, directory: str, most_dead: float) -> tuple[DataFrame, DataFrame]:
+    """``compact``'s index, and the names of the packs that it no longer reads."""
+    index = stage(index, "index")
     pack = F.col("at.pack").alias("pack")
     live = index.groupBy(pack).agg(F.sum("length").alias("live"))
     held = stored.groupBy("pack").agg(F.sum("length").alias("held"))
-    worn = held.join(live, "pack").where(F.col("live") < F.col("held") * (1 - most_dead)).select("pack")
+    worn = stage(held.join(live, "pack", "left").where(F.coalesce("live", F.lit(0)) < F.col("held") * (1 - most_dead)).select("pack"), "worn")
     flagged = index.select("*", pack).join(worn.withColumn("worn", F.lit(True)), "pack", "left")
     moving = flagged.where("worn").select("pack", "digest", "uses", "length", F.col("at.segment").alias("segment"), F.col("at.offset").alias("offset"))
 
@@ -221,7 +252,7 @@ def compact(index: DataFrame, stored: DataFrame, directory: str, most_dead: floa
                 for name, digest, length, segment, offset in zip(*[batch.column(c).to_pylist() for c in ("pack", "digest", "length", "segment", "offset")]):
                     new = writer.add(digest, reader.chunk(name, segment, offset, length))
                     places.append(dict(zip(("pack", "segment", "offset"), new)))
-                    writer.roll()
+                    writer.roll(1)
                 at = pa.array(places, pa.struct([("pack", pa.string()), ("segment", pa.int32()), ("offset", pa.int32())]))
                 yield pa.RecordBatch.from_arrays([batch.column("digest"), at, batch.column("uses"), batch.column("length")], names=["digest", "at", "uses", "length"])
         finally:
@@ -229,51 +260,47 @@ def compact(index: DataFrame, stored: DataFrame, directory: str, most_dead: floa
 
     schema = "digest binary, at struct<pack:string,segment:int,offset:int>, uses long, length int"
     moved = moving.repartition("pack").sortWithinPartitions("pack", "segment", "offset").mapInArrow(rewrite, schema)
-    return stage(flagged.where("worn IS NULL").select("digest", "at", "uses", "length").unionByName(moved), "index")
+    return stage(flagged.where("worn IS NULL").select("digest", "at", "uses", "length").unionByName(moved), "index"), worn
 
 
 def stored_places(manifests: DataFrame) -> DataFrame:
     """(pack, segment, offset, length) of every chunk that the packs hold."""
-    return manifests.select(F.explode("chunks").alias("c")).select("c.pack", "c.segment", "c.offset", "c.length").distinct()
+    return manifests.select(F.explode("chunks").alias("c")).where("c.new").select("c.pack", "c.segment", "c.offset", "c.length")
 
 
 def read_media(manifests: DataFrame, directory: str, index: DataFrame | None = None) -> DataFrame:
-    """Rebuild every payload from its chunk list and the index; verify it; return what the media holds.
+    """Rebuild every WAV file from its chunk list and the index, verify it, and return what it holds.
 
     Rows: id, n_bytes, payload_bytes, payload_sha256, tail_crc32 (of the last 64 bytes), media_bytes and
-    media_sha256 (of the WAV form: header and 8-bit samples), feature. Digests meet the index in a join
-    on the digest, of small rows; a digest that most payloads share is left to adaptive skew handling.
-    Payloads are then read by home pack, so a task mostly reads its own packs in order. ``index`` is
-    the manifests' own if not given.
+    media_sha256 (of the stored WAV file), feature (of its samples). A home pack's payloads need each
+    digest once: those small rows, distinct map-side, meet the index in a join, so a chunk that most
+    payloads share costs a row a pack. Payloads are then read by home pack, which bounds a group
+    (PACK bytes, PACK_ROWS payloads). ``index`` is the manifests' own if not given.
     """
-    refs = manifests.select("row", F.posexplode("chunks").alias("place", "c")).select("row", "place", F.col("c.digest").alias("digest"), F.col("c.length").alias("length"))
     index = (chunk_index(manifests) if index is None else index).select("digest", "at")
-    ordered = F.array_sort(F.collect_list(F.struct("place", "length", "at.pack", "at.segment", "at.offset")))
-    lists = refs.join(index, "digest").groupBy("row").agg(ordered.alias("list"))
+    needed = manifests.select(F.col("home").alias("of"), F.explode("chunks.digest").alias("digest")).distinct()
+    places = needed.join(index, "digest").select("of", "digest", "at.pack", "at.segment", "at.offset")
     kind = manifests.schema["id"].dataType.simpleString()
-    rows = manifests.select("row", "id", "n_bytes", "sha256", "home").join(lists, "row").repartition("home").sortWithinPartitions("home", "row")
+    rows = manifests.select("home", "id", "n_bytes", "sha256", F.transform("chunks", lambda c: F.struct(c["digest"].alias("digest"), c["length"].alias("length"))).alias("chunks"))
     schema = f"id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
-    def read(batches):
+    def read(rows: pa.Table, places: pa.Table) -> pa.Table:
         reader = PackReader(directory)
-        for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                yield part(batch.slice(k, min(512, batch.num_rows - k)), reader)
-
-    def part(batch, reader):
+        at = dict(zip(places["digest"].to_pylist(), zip(*[places[c].to_pylist() for c in ("pack", "segment", "offset")])))
         out = []
-        for want, chunks in zip(batch.column("sha256").to_pylist(), batch.column("list").to_pylist()):
-            payload = b"".join([reader.chunk(c["pack"], c["segment"], c["offset"], c["length"]) for c in chunks])
-            sha = hashlib.sha256(payload).hexdigest()
-            if sha != want:
-                raise ValueError(f"a payload read back has SHA-256 {sha}, not {want}")
-            media = wav_header(len(payload)) + payload
-            samples = np.frombuffer(media, np.uint8, offset=44)
-            steps = np.count_nonzero(np.diff(samples >> 7))
-            feature = f"chunks={len(chunks)};mean={int(samples.sum(dtype=np.int64)) / len(samples):.3f};max={int(samples.max())};crossings={steps}"
-            out.append((len(payload), sha, zlib.crc32(payload[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature))
+        for batch in rows.to_batches(1024):
+            for want, chunks in zip(batch.column("sha256").to_pylist(), batch.column("chunks").to_pylist()):
+                media = b"".join([reader.chunk(*at[c["digest"]], c["length"]) for c in chunks])
+                sha = hashlib.sha256(media).hexdigest()
+                if sha != want:
+                    raise ValueError(f"a WAV file read back has SHA-256 {sha}, not {want}")
+                payload = media[HEADER:]
+                samples = np.frombuffer(payload, np.uint8)
+                steps = np.count_nonzero(np.diff(samples >> 7))
+                feature = f"chunks={len(chunks)};mean={int(samples.sum(dtype=np.int64)) / len(samples):.3f};max={int(samples.max())};crossings={steps}"
+                out.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(media), sha, feature))
         a, b, c, d, e, f = zip(*out) if out else [()] * 6
-        columns = [batch.column("id"), batch.column("n_bytes"), *[pa.array(x, t) for x, t in ((a, pa.int64()), (b, pa.string()), (c, pa.int64()), (d, pa.int64()), (e, pa.string()), (f, pa.string()))]]
-        return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in schema.split(", ")])
+        columns = [rows["id"], rows["n_bytes"], *[pa.array(x, t) for x, t in ((a, pa.int64()), (b, pa.string()), (c, pa.int64()), (d, pa.int64()), (e, pa.string()), (f, pa.string()))]]
+        return pa.Table.from_arrays(columns, names=[x.split()[0] for x in schema.split(", ")])
 
-    return rows.select("id", "n_bytes", "sha256", "list").mapInArrow(read, schema)
+    return rows.groupBy("home").cogroup(places.groupBy("of")).applyInArrow(read, schema)

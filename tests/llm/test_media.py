@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import media
-from millrace.llm.media import chunk_index, compact, cut_points, gear_hashes, payload_of, read_media, store_media, stored_places, wav_header
+from millrace.llm.media import chunk_index, compact, cut_points, gear_hashes, payload_of, read_media, settle, store_media, stored_places, wav_header
 from millrace.llm.queries_media import op6_chunked_media
 
 
@@ -102,6 +102,42 @@ def test_the_media_form_is_a_wav_file(tmp_path):
         assert (w.getsampwidth(), w.getnchannels(), w.readframes(1 << 20)) == (1, 1, p)
 
 
+def test_the_store_holds_each_wav_file_once(spark, tmp_path, monkeypatch):
+    """Packs read without the library's code: chunks concatenate to the WAV files, and no chunk is stored twice."""
+    import struct
+
+    import zstandard
+
+    monkeypatch.setattr(media, "PACK_ROWS", 3)
+    rnd = random.Random(6)
+    passage = "".join(rnd.choice("abcdefghij klmnop") for _ in range(20_000))
+    rows = [(i, f"{i} " * 400 + passage if i % 4 else None) for i in range(16)]
+    df, folder = spark.createDataFrame(rows, "doc_id long, text string").repartition(4), tmp_path / "p"
+    manifests = store_media(df, str(folder))
+    before = sum(p.stat().st_size for p in folder.iterdir())
+    index = settle(manifests, str(folder))
+    assert sum(p.stat().st_size for p in folder.iterdir()) < before / 2
+    packs, stored = {}, 0
+    for p in folder.iterdir():
+        data = p.read_bytes()
+        n = struct.unpack("<Q", data[-8:])[0]
+        table = struct.unpack(f"<{2 * n}Q", data[-8 - 16 * n : -8])
+        packs[p.stem] = [zstandard.ZstdDecompressor().decompress(data[at : at + size]) for at, size in zip(table[::2], table[1::2])]
+        stored += sum(map(len, packs[p.stem]))
+    places = {bytes(r["digest"]): r["at"] for r in index.collect()}
+    assert stored == index.agg(F.sum("length")).first()[0] and {a["pack"] for a in places.values()} == set(packs)
+    for r in manifests.collect():
+        wav = b"".join(packs[(a := places[bytes(c["digest"])])["pack"]][a["segment"]][a["offset"] : a["offset"] + c["length"]] for c in r["chunks"])
+        assert hashlib.sha256(wav).hexdigest() == r["sha256"] and wav[:4] == b"RIFF"
+        (tmp_path / "x.wav").write_bytes(wav)
+        with wave.open(str(tmp_path / "x.wav")) as w:
+            assert w.readframes(1 << 20) == payload_of((dict(rows)[r["id"]] or "").encode())
+    want = sorted((repr(i), *plain(t)) for i, t in rows)
+    assert sorted((repr(r["id"]), *(r[f] for f in FIELDS)) for r in read_media(manifests, str(folder), index).collect()) == want
+    none = store_media(df.limit(0), f"{tmp_path}/e")
+    assert settle(none, f"{tmp_path}/e").count() == 0
+
+
 def test_query(spark, edge, edge_rows, tmp_path):
     edge.write.parquet(str(tmp_path / "documents.parquet"))
     rows = op6_chunked_media(spark, str(tmp_path)).collect()
