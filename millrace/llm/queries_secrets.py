@@ -8,5 +8,6 @@ from .secrets import scan_secrets
 
 
 def op9_assignment_lexer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document. A null or empty text has none; repeated rows get equal results; no documents, no rows."""
     docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "text")
     return scan_secrets(docs).drop("text")

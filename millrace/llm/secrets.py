@@ -21,15 +21,20 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # runs are maximal, so a shorter one
 _HEX = re.compile(r"[0-9a-f]{16,}")
 
 _OPERATOR = re.compile(r"=>|:=|(?<![=!<>])=(?!=)|(?<!:):(?![:/])")
-_NAME = re.compile(r"""([A-Za-z_$][A-Za-z0-9_.$-]*)["'`\])]*[ \t]*$""")
+_NAME = re.compile(r"""([A-Za-z_$][A-Za-z0-9_.$-]*)(?:\[[0-9]*\])*["'`\])]*[ \t]*$""")
 _STRING = re.compile(r"""[bBrRuUfF]{0,2}("{3}|'{3}|"|'|`)""")
 _BARE = re.compile(r"""[^\s"'`,;#(){}\[\]<>]+""")
 _IDENT = re.compile(r"[A-Za-z_$][A-Za-z0-9_.$]*\Z")
 _JOIN = re.compile(r"[ \t]*(?:\+|\.(?=[ \t])|&|\.\.)[ \t]*(?:\\?\r?\n[ \t]*)?|[ \t]*(?=[\"'`])")
 _TYPED = re.compile(r"([A-Za-z_$][A-Za-z0-9_$]*)[?!]?[ \t]*:[ \t]*[A-Za-z_&*][A-Za-z0-9_.$&*' |?!,<>\[\]]*$")
 _DECLARED = re.compile(r"\b(?:var|const|let|val)[ \t]+([A-Za-z_][A-Za-z0-9_]*)[ \t]+[A-Za-z_*\[][A-Za-z0-9_.*\[\]]*[ \t]*$")
-_HEAD_OF_VALUE = re.compile(r"(?:\s*+(?:(?:new[ \t]+)?([A-Za-z_][A-Za-z0-9_.:]*+)!?\(|[(\[]))++\s*+(?=[bBrRuUfF]{0,2}[\"'`])|[ \t]*\\?\r?\n\s*+(?=[bBrRuUfF]{0,2}[\"'`])")
+_HEAD_OF_VALUE = re.compile(r"(?:\s*+(?:(?:new[ \t]+)?([A-Za-z_][A-Za-z0-9_.:]*+)(?:!?\(|(?:\[[0-9]*\])++\s*+\{)|[(\[{]))++\s*+(?=[bBrRuUfF]{0,2}[\"'`])|[ \t]*\\?\r?\n\s*+(?=[bBrRuUfF]{0,2}[\"'`])")
 _NEXT = re.compile(r"\s*(,)\s*(?:[A-Za-z_]\w*[ \t]*=[ \t]*)?|\s*\+?\s*")
+_CALLEE = re.compile(r"[A-Za-z0-9_.:]*+")
+#: A call whose first argument is a literal, or a name followed by one: setters and builders, copies and definitions.
+_CALL = re.compile(r"""(?<=[A-Za-z0-9_\]])\(\s*+(?:["'`]?([A-Za-z_$][A-Za-z0-9_.$-]*+)["'`]?\s*+,\s*+)?+(?=[bBrRuUfF]{0,2}["'`])""")
+_SETTER = re.compile(r"(?:(?:set|with|put)_?|\.)([A-Za-z][A-Za-z0-9_]*)$")
+_KEY = re.compile(r"\s*+(?::|=)")
 _LOOKUP = re.compile(r"env|get|config|lookup|read|fetch|param|setting", re.I)
 _BLOCK = re.compile(r"[ \t]*[|>][+0-9-]{0,2}[ \t]*(?:#[^\n]*)?\r?\n")
 _EMBEDDED = re.compile(r"\$\{([A-Za-z_][A-Za-z0-9_.]*)\}|\$\(?([A-Za-z_][A-Za-z0-9_]*)\)?|\{([A-Za-z_][A-Za-z0-9_]*)\}")
@@ -44,7 +49,7 @@ _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 _STRONG = {
     "password", "passwd", "pwd", "passphrase", "secret", "secrets", "token", "apikey", "credential", "credentials", "privatekey",
-    "accesskey", "secretkey", "authkey", "clientsecret", "signingkey", "encryptionkey", "masterkey", "connectionstring", "passcode",
+    "passwords", "apikeys", "accesskey", "secretkey", "authkey", "clientsecret", "signingkey", "encryptionkey", "masterkey", "connectionstring", "passcode",
 }
 _WEAK = {"key", "auth", "pass", "pin", "cert", "salt", "session", "cookie", "bearer", "signature", "jwt", "dsn"}
 _HARMLESS = {
@@ -199,7 +204,7 @@ def lex(text: str) -> Iterator[tuple[str, list[tuple[str, int, int]]]]:
     Kinds: string, bare. A value may be a sum of terms; a bare term may be a name. Linear in the text but for
     operators within a sum's bare terms: the sum's rest is read again from each.
     """
-    run, last_end = (0, 0), [m.end() for m in _PEM_END.finditer(text)]
+    run, last_end, callee = (0, 0), [m.end() for m in _PEM_END.finditer(text)], [0]
 
     def key_end(at: int) -> int:
         k = bisect_right(last_end, at)
@@ -237,7 +242,7 @@ def lex(text: str) -> Iterator[tuple[str, list[tuple[str, int, int]]]]:
             if not j[0].strip() and terms[-1][0] != "string":
                 break
             at = j.end()
-        inner = [] if terms and terms[0][0] == "string" else _inner(text, m.end())
+        inner = [] if terms and terms[0][0] == "string" else _inner(text, m.end(), callee)
         if m[0] == ":" and (b := _BLOCK.match(text, m.end())):
             line = text[text.rfind("\n", 0, m.start()) + 1 : m.start()]
             deep = len(line) - len(line.lstrip(" \t")) + 1
@@ -246,14 +251,34 @@ def lex(text: str) -> Iterator[tuple[str, list[tuple[str, int, int]]]]:
                 inner.append([("string", start, end)] if end > start else [])
         for n in names:
             yield from ((n, t) for t in (terms, *inner) if t)
+    for m in _CALL.finditer(text) if "(" in text else ():
+        name = m[1]
+        if not name:
+            before = _SETTER.search(text, max(0, m.start() - 60), m.start())
+            name = before[1] if before and not _LOOKUP.search(before[1]) else None
+        if name and name_score(name):
+            s = _STRING.match(text, m.end())
+            if rest := _REST[s[1]].match(text, s.end()):
+                yield name, [("string", s.end(), rest.end() - len(s[1]))]
 
 
-def _inner(text: str, at: int) -> list[list[tuple[str, int, int]]]:
-    """The literals, each a sum, behind opening brackets, a call's head or a line break; a lookup's key isn't one."""
+def _inner(text: str, at: int, callee: list[int]) -> list[list[tuple[str, int, int]]]:
+    """The literals, each a sum, behind opening brackets, a call's head or a line break; a lookup's or a table's key isn't one.
+
+    ``callee`` keeps the end of a long run of a name's signs that no bracket follows, which operators in it share.
+    """
     found: list[list[tuple[str, int, int]]] = [[]]
+    if at < callee[0]:
+        return found
+    end = _CALLEE.match(text, at).end()
+    if end - at > 64 and text[end : end + 1] not in ("(", "!", "["):
+        callee[0] = end
+        return found
     head = _HEAD_OF_VALUE.match(text, at)
     at = head.end() if head else -1
     while at >= 0 and (s := _STRING.match(text, at)) and (rest := _REST[s[1]].match(text, s.end())):
+        if _KEY.match(text, rest.end()):
+            break
         found[-1].append(("string", s.end(), rest.end() - len(s[1])))
         after = _NEXT.match(text, rest.end())
         if after[1]:
@@ -269,7 +294,7 @@ def literal_spans(text: str) -> list[tuple[int, int]]:
     sensitive: list[Value] = []
     seen: set[int] = set()
     runs: dict = {}
-    if "=" in text or ":" in text:
+    if "=" in text or ":" in text or "(" in text:
         for name, terms in lex(text):
             parts, spans, quoted = [], [], False
             for kind, start, end in terms:
@@ -338,7 +363,7 @@ def scan_secrets(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``df`` with SCAN's columns, replacing columns of those names.
 
     Places are code points, ends exclusive. A null text counts as empty: no spans. Repeated rows get equal
-    results, an empty table stays empty. No shuffle: each text, however long, is scanned whole where it is
+    results (repeated secrets in a text each count), an empty table stays empty. No shuffle: each text, however long, is scanned whole where it is
     read; a name's constant is known from its assignment on, in that text.
     """
     names = [f.split()[0] for f in SCAN.split(", ")]

@@ -57,7 +57,7 @@ def test_constants_that_double():
     assert [text[a:b] for a, b in literal_spans(text)] == ["q8W2e4"]
 
 
-@pytest.mark.parametrize("part", ['a = "', "a = '", "a = `x", 'a = """', "a='''x", "token=", 'k = "\\', "a = `b = '''c = \"\"\"", "p=-----BEGIN PRIVATE KEY-----", '"x" + ', "<secret>aaaaaaa", "aa://b:cccccc"])
+@pytest.mark.parametrize("part", ['a = "', "a = '", "a = `x", 'a = """', "a='''x", "token=", 'k = "\\', "a = `b = '''c = \"\"\"", "p=-----BEGIN PRIVATE KEY-----", '"x" + ', "<secret>aaaaaaa", "aa://b:cccccc", "a=", "a:", "k=v&", "f(pwd,", "pwd[9]=", "x=(", "p = {"])
 def test_unclosed_texts_stay_linear(part):
     began = time.process_time()
     literal_spans(part * (100_000 // len(part)))
@@ -70,6 +70,8 @@ SYNTAX = {
     f'password: Optional[str] = "{V}"': [V], f'password = ("{V}")': [V], f'password = [\n  "{V}",\n]': [V], f'password =\n    "{V}"\n': [V], f'password = \\\n    "{V}"\n': [V],
     "db_password: |\n  Zx9!kQ2@tail7Q\nnext: 1\n": ["Zx9!kQ2@tail7Q"], "a:\n  db_password: >-\n    Zx9!kQ2@tail7Q\n  next: 1\n": ["Zx9!kQ2@tail7Q"], f"private_key: |\n  {PEM.replace(chr(10), chr(10) + '  ')}\nnext: 1": [PEM.replace("\n", "\n  ")],
     f"password = os.getenv('DB_PASS', '{V}')": [V], f'password = os.environ.get("DB_PASS", default="{V}")': [V], f'password = SecretStr("{V}")': [V], f'String password = new String("{V}");': [V],
+    f'char *pwd[] = {{"{V}"}};': [V], f'char pwd[16] = "{V}";': [V], f'String[] passwords = new String[] {{"{V}", "{V[::-1]}"}};': [V, V[::-1]], f'secrets = {{"database_host9": 1, "x": "{V}"}}': [],
+    f'strcpy(pwd, "{V}");': [V], f'define("DB_PASSWORD", "{V}");': [V], f'login(pwd, "{V}")': [V], f'user.setPassword("{V}")': [V], f'builder.password("{V}").build()': [V], 'getSecret("prod/db-9")': [], f'print("{V}")': [],
     'password = ("S3cret!pa"\n    "ss9xyz")': ["S3cret!pa", "ss9xyz"], 'password = os.getenv("DB_PASSWORD_9")': [], "password: str = None": [], "password:\n  value: 1\n": [],
 }
 
@@ -77,3 +79,27 @@ SYNTAX = {
 @pytest.mark.parametrize("text", SYNTAX)
 def test_declaration_syntax(text):
     assert [text[a:b] for a, b in literal_spans(text)] == SYNTAX[text]
+
+
+FORMS = (
+    '{n} = "{v}"', "{n} := '{v}'", '"{n}": "{v}",', "{n}: '{v}'", "export {n}={v}", 'const {n}: string = "{v}";', '{n} = (\n  "{v}"\n)', 'cfg["{n}"] = "{v}"', 'define("{n}", "{v}")',
+    'k{i} = "{v}"\n{n} = k{i}', 'k{i} = "{v}"\n{n} = "" + k{i}', "<{n}>{v}</{n}>", "{n}: |\n  {v}",
+)
+CALM = ("def run(self):\n    return self.count + 1", "The mill stood by the river: quiet, old.", 'title = "A quiet mill"', "for i in range(10): total += i", 'url = "https://host/path"', "if a == b: pass", "{\"size\": 12}")
+
+
+def test_generated_code_gives_the_secrets_put_in():
+    """Sensitive names in every form between harmless lines: the lexer reports each value, whole, and nothing else."""
+    rnd = random.Random(3)
+    for k in range(60):
+        text, want = "", []
+        for i in range(rnd.randrange(1, 12)):
+            if rnd.random() < 0.4:
+                text += rnd.choice(CALM) + "\n"
+                continue
+            v = "".join(rnd.choices(string.ascii_lowercase, k=3)) + "".join(rnd.choices(string.ascii_letters + string.digits, k=rnd.randrange(14, 60))) + "Q7z"
+            line = rnd.choice(FORMS).format(n=rnd.choice(("db_password", "API_TOKEN", "clientSecret", "signing_key", "auth.credential")), v=v, i=f"{k}_{i}")
+            at = line.index(v)
+            want.append((len(text) + at, len(text) + at + len(v)))
+            text += line + "\n"
+        assert literal_spans(text) == want, text
