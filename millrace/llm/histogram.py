@@ -31,16 +31,6 @@ class Splitters:
     total_weight: int
     total_rows: int
 
-    def column(self) -> Column:
-        """The part of a row that has the KEYS columns, from 0."""
-        keys = self.keys
-
-        def part(a: pa.Array, b: pa.Array, c: pa.Array) -> pa.Array:
-            return pa.array(place(keys, *[x.to_numpy(zero_copy_only=False) for x in (a, b, c)]), pa.int32())
-
-        part.__annotations__ = {"a": pa.Array, "b": pa.Array, "c": pa.Array, "return": pa.Array}
-        return F.arrow_udf(part, "int")(*KEYS) if keys else F.lit(0)
-
 
 def place(keys, k0: np.ndarray, k1: np.ndarray, k2: np.ndarray) -> np.ndarray:
     """How many of the sorted boundaries are at most each key."""

@@ -13,7 +13,7 @@ from .queries_mixing import OP8_SQL, op8_systematic_mix
 from .queries_packing import op4_residual_packing
 from .queries_quality import op5_tokenizer_fertility
 from .queries_secrets import op9_assignment_lexer
-from .queries_sharding import op1_histogram_shards
+from .queries_sharding import OP1_SQL, op1_histogram_shards
 from .queries_simhash import op10_simhash_bktree
 from .queries_tokens import op3_token_planes
 
@@ -27,4 +27,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_systematic_mix": OP8_SQL}
+    return {"op1_histogram_shards": OP1_SQL, "op8_systematic_mix": OP8_SQL}

@@ -1,4 +1,6 @@
+import random
 import zlib
+from itertools import accumulate
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,10 +31,10 @@ def test_edges(spark, edge, edge_rows, empty):
     assert {r["shard"] for r in shards(edge, 1).collect()} == {0}
 
 
-@pytest.mark.parametrize("task_bytes", [1 << 30, 4000])
-def test_a_hot_key_and_repeated_rows_are_divided(spark, task_bytes):
+@pytest.mark.parametrize("task_rows", [1 << 30, 30])
+def test_a_hot_key_and_repeated_rows_are_divided(spark, task_rows):
     df = spark.range(9000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 THEN 9 ELSE id END AS doc_id", "CASE WHEN id % 3 = 0 THEN 'same' ELSE cast(id + 10000 as string) END AS text")
-    rows = shards(df, 24, task_bytes=task_bytes).collect()
+    rows = shards(df, 24, task_rows=task_rows).collect()
     check(rows, 24, 9000)
     sizes = [sum(len(r["text"]) + 8 for r in rows if r["shard"] == s) for s in range(24)]
     assert max(sizes) - min(sizes) <= 2 * 13
@@ -51,6 +53,25 @@ def test_splitters_count_exactly(spark):
     assert max(abs(w - i * cuts.total_weight / 10) for i, w in enumerate(cuts.weights)) <= 13
 
 
+def test_shards_equal_brute_force(spark):
+    """Cuts at the row's edge nearest each even share, keys in order."""
+    rnd = random.Random(4)
+    rows = [(k, "x" * rnd.choice((0, 3, 40, 900))) for k in rnd.sample(range(-500, 5000), 700)]
+    got = {r["doc_id"]: (r["shard"], r["slot"]) for r in shards(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 7).collect()}
+    rows.sort()
+    upto = [0, *accumulate(len(t) + 8 for _, t in rows)]
+    cuts = [min(range(len(upto)), key=lambda i: abs(upto[i] - j * upto[-1] / 7)) for j in range(1, 7)]
+    for i, (k, _) in enumerate(rows):
+        shard = sum(c <= i for c in cuts)
+        assert got[k] == (shard, i - (0, *cuts)[shard])
+
+
+def test_the_plan_does_not_grow_with_the_parts(spark):
+    df = spark.range(3000).selectExpr("id AS doc_id", "'x' AS text")
+    sizes = [len(shards(df, 2, task_rows=n)._jdf.queryExecution().optimizedPlan().toString()) for n in (10_000, 3)]
+    assert sizes[1] < sizes[0] + 200
+
+
 def test_query(spark, tmp_path, edge, edge_rows):
     edge.write.parquet(str(tmp_path / "documents.parquet"))
     rows = op1_histogram_shards(spark, str(tmp_path)).collect()
