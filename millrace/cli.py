@@ -25,7 +25,7 @@ _VOCABULARY = (
 )
 _INGEST = (
     ("source", str, None, "wikipedia: extracted JSON lines; fineweb: Parquet shards"), ("input-dir", str, None, "folder that holds them"), ("output-dir", str, "data/raw", "folder for the result"),
-    ("num-files", int, 1, "shards to combine"), ("start-index", int, 0, "first shard"), ("date", str, "", "a label for the output"),
+    ("num-files", int, 1, "shards to combine"), ("start-index", int, 0, "first shard"), ("skip-existing", bool, False, "keep an output that is complete"), ("date", str, "", "a label for the output"),
 )
 _REQUIRED = {"input", "output", "cefr_csv", "out_dir", "source", "input-dir"}
 
@@ -77,9 +77,10 @@ def _ingest(a: argparse.Namespace, spark: SparkSession) -> None:
 
     if a.source == "wikipedia":
         output = str(Path(a.output_dir) / f"wikipedia{'_' + a.date if a.date else ''}.parquet")
-        io.write_parquet(io.read_wiki_jsonl(a.input_dir, spark), output)
+        if not (a.skip_existing and io.is_written(output)):
+            io.write_parquet(io.read_wiki_jsonl(a.input_dir, spark), output)
     elif a.source == "fineweb":
-        output = io.combine_shards(io.shard_paths(a.input_dir, a.start_index, a.num_files), str(Path(a.output_dir) / "fineweb_combined.parquet"), spark)
+        output = io.combine_shards(io.shard_paths(a.input_dir, a.start_index, a.num_files), str(Path(a.output_dir) / "fineweb_combined.parquet"), spark, a.skip_existing)
     else:
         raise ValueError(f"unknown source: {a.source}")
     print(output)

@@ -35,7 +35,7 @@ class BaseAnnotator(ABC):
     """One text (maybe null) in, a value for each column of ``output_schema`` out.
 
     Set ``output_schema`` (a StructType or DDL string); without it the columns are inferred from the
-    first ``sample_rows`` rows on the driver.
+    first ``sample_rows`` rows on the driver, and a later row with another key raises.
     """
 
     output_schema: str | T.StructType | None = None
@@ -61,12 +61,14 @@ class BaseAnnotator(ABC):
         schema = self.schema_for(df, text_column)
         if clash := {f.name.lower() for f in schema} & {c.lower() for c in df.columns}:
             raise ValueError(f"annotation columns are in the table already: {sorted(clash)}")
-        names = schema.fieldNames()
+        names, inferred = schema.fieldNames(), self.output_schema is None
 
         def run(batches: Iterable[pd.Series]) -> Iterable[pd.DataFrame]:
             self.open()
             for texts in batches:
                 rows = [self.annotate(None if t is None or t is pd.NA else t) for t in texts]
+                if inferred and (unknown := set().union(*rows).difference(names)):
+                    raise ValueError(f"keys that the first {self.sample_rows} rows lack: {sorted(unknown)}; set output_schema")
                 yield pd.DataFrame({n: pd.Series([r.get(n) for r in rows], dtype="object") for n in names})
 
         run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}

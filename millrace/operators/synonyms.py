@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import WORD, preserve_case
 from millrace.scalar import preserve_case_like
+from millrace.sources.staging import read_file
 
 #: Up to so many entries the rewrite is a native expression; a map literal is searched entry by entry.
 NATIVE_ENTRIES = 16
@@ -34,8 +35,7 @@ class SynonymMapper:
 
     @classmethod
     def from_json(cls, path: str | PathLike, preserve_case: bool = True) -> SynonymMapper:
-        with open(path, encoding="utf-8") as f:
-            return cls(json.load(f), preserve_case)
+        return cls(json.loads(read_file(str(path))), preserve_case)
 
     def with_entry(self, synonym: str, canonical: str) -> SynonymMapper:
         return SynonymMapper({**self.mapping, synonym: canonical}, self.preserve_case)

@@ -6,13 +6,14 @@ import csv
 import json
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from pathlib import Path
+from io import StringIO
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import is_alpha, lemma
 from millrace.sources.mappings import DIFFICULT, EASY, CEFRIndex, level_of
+from millrace.sources.staging import stage, write_file
 
 #: Easy word: formal words for it.
 SEED = {
@@ -66,22 +67,22 @@ class Vocabulary:
         return {"targets": self.targets.count(), "mapped": self.mapping.count(), "unmapped": self.unmapped.count()}
 
     def write(self, directory: str) -> dict[str, int]:
-        """synonyms.json, synonyms.csv, unmapped.txt and build_stats.txt; a word list's size, so by the driver."""
-        out = Path(directory)
-        out.mkdir(parents=True, exist_ok=True)
+        """synonyms.json, synonyms.csv, unmapped.txt and build_stats.txt at a path or URI; a word list's size, so by the driver."""
+        out = str(directory).rstrip("/")
         rows = self.mapping.orderBy("from").collect()
         left = [r["headword"] for r in self.unmapped.orderBy("headword").collect()]
-        (out / "synonyms.json").write_text(json.dumps({r["from"]: r["to"] for r in rows}, ensure_ascii=False, indent=2), encoding="utf-8")
-        with (out / "synonyms.csv").open("w", encoding="utf-8", newline="") as f:
-            csv.writer(f).writerows([self.mapping.columns, *[[x or "" for x in r] for r in rows]])
-        (out / "unmapped.txt").write_text("".join(f"{w}\n" for w in left), encoding="utf-8")
+        write_file(f"{out}/synonyms.json", json.dumps({r["from"]: r["to"] for r in rows}, ensure_ascii=False, indent=2))
+        table = StringIO(newline="")
+        csv.writer(table).writerows([self.mapping.columns, *[[x or "" for x in r] for r in rows]])
+        write_file(f"{out}/synonyms.csv", table.getvalue())
+        write_file(f"{out}/unmapped.txt", "".join(f"{w}\n" for w in left))
         found = {"targets": self.targets.count(), "mapped": len(rows), "unmapped": len(left)}
         share = 100 * found["mapped"] / found["targets"] if found["targets"] else 0
         lines = {
             "Total difficult targets": found["targets"], "Mapped": f"{found['mapped']} ({share:.2f}%)", "Unmapped": found["targets"] - found["mapped"],
             "Targets without a mapping": found["unmapped"], **self.options,
         }
-        (out / "build_stats.txt").write_text("".join(f"{k}: {v}\n" for k, v in lines.items()), encoding="utf-8")
+        write_file(f"{out}/build_stats.txt", "".join(f"{k}: {v}\n" for k, v in lines.items()))
         return found
 
 
@@ -106,7 +107,8 @@ def build_vocabulary(
     for pairs, source, order in ways:
         rows = pairs.select("src", F.struct(F.lit(order).alias("o"), "dst", F.lit(source).alias("source")).alias("way"))
         all_ways = rows if all_ways is None else all_ways.unionByName(rows)
-    best = all_ways.groupBy("src").agg(F.min("way").alias("way"))
+    # staged: two joins and the unmapped words read it
+    best = stage(all_ways.groupBy("src").agg(F.min("way").alias("way")), "ways")
     named = best.select(F.col("src").alias("from"), F.col("way.dst").alias("to"), F.col("way.source").alias("source"))
     mapping = (
         named.join(ranks.select(F.col("headword").alias("from"), level_of(F.col("rank")).alias("from_cefr")), "from", "left")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,14 +11,14 @@ from pyspark.sql import functions as F
 from millrace.functions import text as t
 from millrace.functions.readability import counts, is_middle_school_level, reading_grade
 from millrace.operators import dedup, filters, stats
-from millrace.operators.annotate import CustomFunctionAnnotator, ExpressionAnnotator, LLMAnnotator, text_features
+from millrace.operators.annotate import MOST_CHARACTERS, CustomFunctionAnnotator, ExpressionAnnotator, LLMAnnotator, text_features
 from millrace.operators.synonyms import SynonymMapper, canonical_by_synset, rewrite_by_join
 from millrace.plans.pipeline import Plan
-from millrace.plans.vocabulary import base_forms, best_synonyms, build_vocabulary, manual_pairs
+from millrace.plans.vocabulary import SEED, base_forms, best_synonyms, build_vocabulary, manual_pairs, seed_frame
 from millrace.sources import io
 from millrace.sources.io import spread
-from millrace.sources.mappings import CEFRIndex, cefr_ranks
-from millrace.sources.staging import new_path, stage
+from millrace.sources.mappings import CEFRIndex, cefr_ranks, load_mapping, read_wordnet
+from millrace.sources.staging import new_path, read_file, stage, write_file
 from millrace.streaming.text import prepare_stream, write_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -277,16 +278,17 @@ def null_counts(spark, sf_dir):
 
 
 @query("""SELECT 'n_chars' AS col, CAST(min(n_chars) AS DOUBLE) AS min, CAST(max(n_chars) AS DOUBLE) AS max, avg(n_chars) AS mean, CAST(median(n_chars) AS DOUBLE) AS median FROM documents
-UNION ALL SELECT 'quality', min(quality), max(quality), avg(quality), median(quality) FROM labels UNION ALL SELECT 'o_totalprice', min(o_totalprice), max(o_totalprice), NULL, median(o_totalprice) FROM orders""")
+UNION ALL SELECT 'quality', min(quality), max(quality), avg(quality), median(quality) FROM labels UNION ALL SELECT 'o_totalprice', min(o_totalprice), max(o_totalprice), round(avg(o_totalprice), 2), median(o_totalprice) FROM orders""")
 def numeric_stats(spark, sf_dir):
-    def of(table: str, column: str, mean: bool) -> DataFrame:
-        c = F.col(column)
-        a = stats.numeric_aggregates(c, column == "o_totalprice")
-        # a mean of floats depends on the order of addition: left to tests
-        named = [a[k].cast("double").alias(k) if k != "mean" or mean else F.lit(None).cast("double").alias(k) for k in ("min", "max", "mean", "median")]
-        return spark.read.parquet(f"{sf_dir}/{table}.parquet").agg(*named).select(F.lit(column).alias("col"), "*")
+    def of(table: str, column: str, floating: bool = False) -> DataFrame:
+        df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+        a = stats.numeric_aggregates(F.col(column), floating)
+        if floating:  # the last digits of a mean of floats depend on the order of addition
+            a["mean"] = F.round(a["mean"], 2)
+        found = df.agg(*[v.cast("double").alias(k) for k, v in a.items()]).select(F.lit(column).alias("col"), "*")
+        return found.join(stats.medians(df, [column]), "col", "left")
 
-    return dedup.union_all(of("documents", "n_chars", True), of("labels", "quality", True), of("orders", "o_totalprice", False))
+    return dedup.union_all(of("documents", "n_chars"), of("labels", "quality"), of("orders", "o_totalprice", True))
 
 
 @query("SELECT source AS value, count(*) AS counts FROM documents GROUP BY source")
@@ -323,13 +325,15 @@ _RANKS = f"ranks AS MATERIALIZED (SELECT w AS headword, CAST((length(w) + ascii(
 _TARGETS = "targets AS (SELECT headword FROM ranks WHERE rank >= 3 AND headword <> 'a')"
 _EASY = "easy AS (SELECT * FROM ranks WHERE rank <= 1)"
 _LEVEL = "CASE {} WHEN 0 THEN 'A1' WHEN 1 THEN 'A2' WHEN 2 THEN 'B1' WHEN 3 THEN 'B2' WHEN 4 THEN 'C1' WHEN 5 THEN 'C2' END"
-_SEED_ROWS = "('the', 'in'), ('and', 'of'), ('la', 'le'), ('nosuchword', 'of'), ('de', 'die')"
+_SEED_PAIRS = [("the", "in"), ("and", "of"), ("la", "le"), ("nosuchword", "of"), ("de", "die")]
+_SEED_ROWS = ", ".join(f"('{a}', '{b}')" for a, b in _SEED_PAIRS)
+_WHOLE_SEED = "seed(src, dst) AS (VALUES " + ", ".join(f"('{w}', '{easy}')" for easy, words in SEED.items() for w in words.split()) + f", {_SEED_ROWS})"
 _SEED = f"seed(src, dst) AS (VALUES {_SEED_ROWS})"
-_BASES = f"bases AS (SELECT headword AS src, {lemma_sql('headword')} AS dst FROM targets), based AS (SELECT src, dst FROM bases WHERE src <> dst AND dst IN (SELECT headword FROM easy))"
-_MANUAL = "manual AS (SELECT src, dst FROM seed WHERE src IN (SELECT headword FROM ranks) AND dst IN (SELECT headword FROM easy))"
-_THESAURUS = "thesaurus AS (SELECT a.headword AS word, b.headword AS synonym, CAST(length(b.headword) % 3 AS BIGINT) AS freq FROM ranks a JOIN ranks b ON left(a.headword, 4) = left(b.headword, 4) AND length(a.headword) - 3 = length(b.headword))"
-_SYNONYMS = "ranked AS (SELECT t.word AS src, e.headword AS dst, row_number() OVER (PARTITION BY t.word ORDER BY e.rank, -t.freq, length(e.headword), e.headword) AS r FROM thesaurus t JOIN easy e ON t.synonym = e.headword WHERE t.word IN (SELECT headword FROM targets) AND t.word <> t.synonym), synonyms AS (SELECT src, dst FROM ranked WHERE r = 1)"
-_MAPPED = "mapped AS (SELECT * FROM (SELECT *, 'manual' AS source, 0 AS o FROM manual UNION ALL SELECT *, 'wordnet', 1 FROM synonyms UNION ALL SELECT *, 'lemma_fallback', 2 FROM based) QUALIFY row_number() OVER (PARTITION BY src ORDER BY o, dst) = 1)"
+# headwords are unique, so plain joins do what semi-joins would
+_BASES = f"bases AS (SELECT headword AS src, {lemma_sql('headword')} AS dst FROM targets), based AS (SELECT src, dst FROM bases JOIN easy ON easy.headword = dst WHERE src <> dst)"
+_MANUAL = "manual AS (SELECT src, dst FROM seed JOIN ranks s ON s.headword = src JOIN easy e ON e.headword = dst)"
+_SYNONYMS = "pairs AS (SELECT a.headword AS src, b.headword AS dst, b.rank, CAST(length(b.headword) % 3 AS BIGINT) AS freq FROM targets a JOIN easy b ON left(a.headword, 4) = left(b.headword, 4) AND length(a.headword) - 3 = length(b.headword)), synonyms AS (SELECT src, arg_min(dst, {'a': rank, 'b': -freq, 'c': length(dst), 'd': dst}) AS dst FROM pairs GROUP BY src)"
+_MAPPED = "mapped AS (SELECT src, arg_min(dst, {'o': o, 'd': dst}) AS dst, arg_min(source, {'o': o, 'd': dst}) AS source FROM (SELECT src, dst, 'manual' AS source, 0 AS o FROM manual UNION ALL SELECT src, dst, 'wordnet', 1 FROM synonyms UNION ALL SELECT src, dst, 'lemma_fallback', 2 FROM based) GROUP BY src)"
 
 
 def _with(*parts: str) -> str:
@@ -337,12 +341,13 @@ def _with(*parts: str) -> str:
 
 
 def _seed(spark):
-    return spark.createDataFrame([("the", "in"), ("and", "of"), ("la", "le"), ("nosuchword", "of"), ("de", "die")], "src string, dst string")
+    return spark.createDataFrame(_SEED_PAIRS, "src string, dst string")
 
 
-def _thesaurus(ranks):
+def _thesaurus(index):
+    """Stand-in pairs of a difficult and an easy word: four letters alike, three letters shorter."""
     k, n = F.substring("headword", 1, 4).alias("k"), F.length("headword")
-    a, b = ranks.select(k, (n - 3).alias("n"), F.col("headword").alias("word")), ranks.select(k, n.alias("n"), F.col("headword").alias("synonym"))
+    a, b = index.difficult().select(k, (n - 3).alias("n"), F.col("headword").alias("word")), index.easy().select(k, n.alias("n"), F.col("headword").alias("synonym"))
     return a.join(b, ["k", "n"]).select("word", "synonym", (F.length("synonym") % 3).cast("long").alias("freq"))
 
 
@@ -359,10 +364,11 @@ def cefr_easy_difficult(spark, sf_dir):
     return rows.select("headword", F.coalesce("e", F.lit(False)).alias("is_easy"), F.coalesce("d", F.lit(False)).alias("is_difficult"))
 
 
-@query(_with(_RANKS, _EASY, _SEED, _MANUAL) + "SELECT src, dst FROM manual")
+@query(_with(_RANKS, _EASY, _WHOLE_SEED, _MANUAL) + "SELECT src, dst FROM manual")
 def vocabulary_seed(spark, sf_dir):
+    """The engine's own seed pairs and some of the corpus's words."""
     index = _index(spark, sf_dir)
-    return manual_pairs(_seed(spark), index.ranks, index.easy())
+    return manual_pairs(dedup.union_all(seed_frame(spark), _seed(spark)), index.ranks, index.easy())
 
 
 @query(_with(_RANKS, _EASY, _TARGETS, _BASES) + "SELECT src, dst FROM based")
@@ -371,38 +377,114 @@ def vocabulary_base_forms(spark, sf_dir):
     return base_forms(index.difficult().where("headword <> 'a'"), index.easy())
 
 
-@query(_with(_RANKS, _EASY, _TARGETS, _THESAURUS, _SYNONYMS) + "SELECT src, dst FROM synonyms")
+@query(_with(_RANKS, _EASY, _TARGETS, _SYNONYMS) + "SELECT src, dst FROM synonyms")
 def vocabulary_synonyms(spark, sf_dir):
     index = _index(spark, sf_dir)
-    return best_synonyms(index.difficult().where("headword <> 'a'"), index.easy(), _thesaurus(index.ranks))
+    return best_synonyms(index.difficult().where("headword <> 'a'"), index.easy(), _thesaurus(index))
 
 
-_BUILT = _with(_RANKS, _EASY, _TARGETS, _SEED, _MANUAL, _THESAURUS, _SYNONYMS, _BASES, _MAPPED)
+_BUILT = _with(_RANKS, _EASY, _TARGETS, _SEED, _MANUAL, _SYNONYMS, _BASES, _MAPPED)
 
 
 @query(_BUILT + f"""SELECT m.src AS "from", m.dst AS "to", m.source, {_LEVEL.format("a.rank")} AS from_cefr, {_LEVEL.format("b.rank")} AS to_cefr
 FROM mapped m LEFT JOIN ranks a ON a.headword = m.src LEFT JOIN ranks b ON b.headword = m.dst""")
 def vocabulary_map(spark, sf_dir):
     index = _index(spark, sf_dir)
-    return build_vocabulary(index, _thesaurus(index.ranks), seed=_seed(spark)).mapping
+    return build_vocabulary(index, _thesaurus(index), seed=_seed(spark)).mapping
 
 
-@query(_BUILT + "SELECT headword FROM targets WHERE headword NOT IN (SELECT src FROM mapped)")
+@query(_BUILT + "SELECT headword FROM targets LEFT JOIN mapped ON src = headword WHERE src IS NULL")
 def vocabulary_unmapped(spark, sf_dir):
     index = _index(spark, sf_dir)
-    return build_vocabulary(index, _thesaurus(index.ranks), seed=_seed(spark)).unmapped
+    return build_vocabulary(index, _thesaurus(index), seed=_seed(spark)).unmapped
+
+
+@query(_with(_RANKS, _EASY, "targets AS (SELECT headword FROM ranks WHERE rank >= 2 AND headword <> 'a')", _SEED, _MANUAL, _SYNONYMS, _BASES, _MAPPED) + f"""SELECT m.src AS "from", m.dst AS "to", m.source, {_LEVEL.format("a.rank")} AS from_cefr
+FROM mapped m JOIN ranks a ON a.headword = m.src WHERE a.rank = 2""")
+def vocabulary_with_b1(spark, sf_dir):
+    """B1 words as targets too, ASCII letters only: what is mapped of them."""
+    index = _index(spark, sf_dir)
+    wide = CEFRIndex(index.ranks.withColumn("rank", F.when(F.col("rank") == 2, 3).otherwise(F.col("rank"))))
+    built = build_vocabulary(index, _thesaurus(wide), include_b1=True, min_alpha_only=True, seed=_seed(spark))
+    return built.mapping.where("from_cefr = 'B1'").drop("to_cefr")
+
+
+@query(_BUILT + """SELECT 'build_stats.txt' AS file, 'Total difficult targets' AS key, CAST(count(*) AS VARCHAR) AS value FROM targets
+UNION ALL SELECT 'build_stats.txt', 'Targets without a mapping', CAST(count(*) AS VARCHAR) FROM targets LEFT JOIN mapped ON src = headword WHERE src IS NULL
+UNION ALL SELECT 'build_stats.txt', 'Unmapped', CAST((SELECT count(*) FROM targets) - (SELECT count(*) FROM mapped) AS VARCHAR)
+UNION ALL SELECT 'synonyms.csv', src, dst || ' ' || source FROM mapped
+UNION ALL SELECT 'synonyms.json', src, dst FROM mapped
+UNION ALL SELECT 'unmapped.txt', headword, '' FROM targets LEFT JOIN mapped ON src = headword WHERE src IS NULL""")
+def vocabulary_files(spark, sf_dir):
+    """The builder's four files, written and read back."""
+    index, out = _index(spark, sf_dir), new_path(spark, "vocabulary")
+    build_vocabulary(index, _thesaurus(index), seed=_seed(spark)).write(out)
+    csv = spark.read.csv(f"{out}/synonyms.csv", header=True).select(F.lit("synonyms.csv").alias("file"), F.col("from").alias("key"), F.concat_ws(" ", "to", "source").alias("value"))
+    whole = spark.read.text(f"{out}/synonyms.json", wholetext=True).select(F.explode(F.from_json("value", "map<string, string>")))
+    json = whole.select(F.lit("synonyms.json").alias("file"), "key", "value")
+    left = spark.read.text(f"{out}/unmapped.txt").select(F.lit("unmapped.txt").alias("file"), F.col("value").alias("key"), F.lit("").alias("value"))
+    pair = F.split("value", ": ", 2)
+    report = spark.read.text(f"{out}/build_stats.txt").select(F.lit("build_stats.txt").alias("file"), pair[0].alias("key"), pair[1].alias("value"))
+    return dedup.union_all(csv, json, left, report.where(F.col("key").isin("Total difficult targets", "Targets without a mapping", "Unmapped")))
+
+
+@query(_with(_RANKS) + "SELECT headword, rank FROM ranks")
+def cefr_csv(spark, sf_dir):
+    """A word list written as CSV and read as an index."""
+    path = new_path(spark, "cefr")
+    _word_list(spark, sf_dir).select(F.upper("headword").alias("Headword"), F.lower("CEFR").alias("cefr")).write.csv(path, header=True)
+    return CEFRIndex.from_csv(path, spark).ranks
+
+
+_PAIRS_SQL = "SELECT lower(n_name) AS word, lower(r_name) AS canonical FROM nation JOIN region ON n_regionkey = r_regionkey WHERE lower(n_name) <> lower(r_name)"
+
+
+def _nation_pairs(spark, sf_dir):
+    nation, region = (spark.read.parquet(f"{sf_dir}/{x}.parquet") for x in ("nation", "region"))
+    return [tuple(r) for r in nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_name", "r_name").collect()]
+
+
+@query(_PAIRS_SQL)
+def mapping_csv(spark, sf_dir):
+    """A word map from CSV, columns in another order, an identity and a short row among its rows."""
+    path = new_path(spark, "map") + ".csv"
+    rows = "".join(f"{b},x,{a}\n" for a, b in _nation_pairs(spark, sf_dir))
+    write_file(path, f"To,note,From\n{rows}same,x,Same\nshort\n")
+    return SynonymMapper(load_mapping(path)).to_frame(spark)
+
+
+@query(_PAIRS_SQL)
+def mapping_json(spark, sf_dir):
+    """A word map from JSON, and a mapper with an entry more and one replaced."""
+    path = new_path(spark, "map") + ".json"
+    pairs = _nation_pairs(spark, sf_dir)
+    write_file(path, json.dumps({a: "?" if k == 0 else b for k, (a, b) in enumerate(pairs)}))
+    return SynonymMapper.from_json(path).with_entry(*pairs[0]).to_frame(spark)
+
+
+@query("""SELECT word, synonym, freq FROM (VALUES ('use', 'utilize', CAST(2 AS BIGINT)), ('use', 'apply', 7), ('utilize', 'use', 9), ('utilize', 'apply', 7), ('apply', 'use', 9), ('apply', 'utilize', 2),
+('big', 'large', 0), ('large', 'big', 4), ('set out', 'start', 0), ('start', 'set out', 1)) AS t(word, synonym, freq)""")
+def wordnet_pairs(spark, sf_dir):
+    """Synonyms from WordNet's file formats, in a folder of a few synsets."""
+    folder = new_path(spark, "wordnet")
+    write_file(f"{folder}/data.verb", "  1 a licence line\n00001 34 v 03 use 0 Utilize 0 apply 1 000 | to use\n00002 34 v 02 set_out 0 start 2 000 | to go\n")
+    write_file(f"{folder}/data.adj", "00003 00 a 02 big 0 large(a) 0 000 | of size\n")
+    write_file(f"{folder}/index.sense", "use%2:34:00:: 00001 1 5\nuse%2:34:01:: 00009 2 4\nutilize%2:34:00:: 00001 1 2\napply%2:34:00:: 00001 2 7\nbig%3:00:00:: 00003 1 4\nset_out%2:38:00:: 00002 1 1\n")
+    return read_wordnet(folder, spark)
 
 
 # -- annotators
 
 _FEATURES = rf"""{words_sql('text')} AS word_count, CAST(length(text) AS BIGINT) AS char_count, CAST(greatest(len(regexp_extract_all(text, '[.!?]')), 1) AS BIGINT) AS sentence_count,
 contains(text, '?') AS has_question, regexp_matches(text, '[0-9]') AS has_numbers"""
+#: Half up to one decimal, in whole numbers.
+_AVERAGE = rf"""CASE WHEN {words_sql('text')} > 0 THEN CAST((length(regexp_replace(text, '[ \t\n\r\f\v]+', '', 'g')) * 20 + {words_sql('text')}) // (2 * {words_sql('text')}) AS DOUBLE) / 10 ELSE 0 END AS avg_word_length"""
 
 
-@query(f"SELECT doc_id, {_FEATURES} FROM documents")
+@query(f"SELECT doc_id, {_FEATURES}, {_AVERAGE} FROM documents")
 def annotate_native(spark, sf_dir):
     rows = ExpressionAnnotator(text_features).annotate_dataframe(docs(spark, sf_dir))
-    return rows.select("doc_id", "word_count", "char_count", "sentence_count", "has_question", "has_numbers")
+    return rows.select("doc_id", "word_count", "char_count", "sentence_count", "has_question", "has_numbers", "avg_word_length")
 
 
 def _python_features(text):
@@ -417,6 +499,14 @@ def annotate_python(spark, sf_dir):
     return rows.drop("text", "lang", "source", "n_chars")
 
 
+@query("SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars_found, contains(text, '?') AS asks, length(text) % 2 = 0 AS even FROM documents")
+def several_annotators(spark, sf_dir):
+    """Three annotators in turn: native, Python with a schema, Python with inferred columns."""
+    plan = Plan(normalize=False, dedup=False).with_annotator(ExpressionAnnotator(lambda c: {"n_chars_found": F.length(c).cast("long")}))
+    plan = plan.with_annotator(CustomFunctionAnnotator(lambda text: {"asks": "?" in text}, "asks boolean")).with_annotator(CustomFunctionAnnotator(lambda text: {"even": len(text) % 2 == 0}))
+    return plan.apply(docs(spark, sf_dir)).select("doc_id", "n_chars_found", "asks", "even")
+
+
 def _fake_client():
     def reply(prompt: str) -> str:
         n = len(prompt) % 5
@@ -425,7 +515,12 @@ def _fake_client():
     return reply
 
 
-@query()
+_PROMPT = len(LLMAnnotator(_fake_client).prompt(""))
+_REPLY = f"({_PROMPT} + CASE WHEN length(text) > {MOST_CHARACTERS} THEN {MOST_CHARACTERS + 3} ELSE length(text) END) % 5"
+
+
+@query(f"""SELECT doc_id, CASE {_REPLY} WHEN 0 THEN 'Mathematics' WHEN 1 THEN 'Food & Culinary' WHEN 3 THEN 'Error: JSON Decode' WHEN 4 THEN 'Error: API Call' END AS topic,
+CASE {_REPLY} WHEN 0 THEN 'high school' WHEN 1 THEN 'PhD degree' WHEN 3 THEN 'Error: JSON Decode' WHEN 4 THEN 'Error: API Call' END AS education FROM documents""")
 def annotate_llm(spark, sf_dir):
     """A language model's labels from a local stand-in client."""
     return LLMAnnotator(_fake_client).annotate_dataframe(docs(spark, sf_dir)).select("doc_id", "topic", "education")
@@ -498,12 +593,12 @@ def shards(spark, sf_dir):
     return io.read_parquet(io.combine_shards(paths, f"{folder}/all.parquet", spark), spark=spark)
 
 
-@query("SELECT CAST(1 AS BIGINT) AS line, lang FROM documents")
+@query(r"SELECT line, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(regexp_replace(text, '\r$', ''), '\r\n|\r|\n')) AS line FROM documents) GROUP BY line")
 def lines(spark, sf_dir):
-    """Text lines, each a row."""
+    """Whole texts written as lines and read line by line, by any line end; how often each occurs."""
     path = new_path(spark, "lines")
-    docs(spark, sf_dir).select("lang").write.text(path)
-    return io.read_lines(path, spark, "lang").select(F.lit(1).cast("long").alias("line"), "lang")
+    docs(spark, sf_dir).select("text").write.text(path)
+    return io.read_lines(path, spark, "line").groupBy("line").agg(F.count(F.lit(1)).alias("n"))
 
 
 _NORMALIZED = f"(SELECT doc_id, {normalized_sql('text')} AS text FROM documents)"
@@ -523,10 +618,10 @@ UNION ALL SELECT 'lang', 'String', count(*) FILTER (WHERE lang IS NULL), count(D
 UNION ALL SELECT 'source', 'String', count(*) FILTER (WHERE source IS NULL), count(DISTINCT source) + max(CAST(source IS NULL AS INT)), 0 FROM documents
 UNION ALL SELECT 'n_chars', 'Int64', count(*) FILTER (WHERE n_chars IS NULL), 0, max(n_chars) FROM documents""")
 def stats_report(spark, sf_dir):
-    """The statistics report of a written table, a row a column."""
+    """The statistics report written beside a table and read back, a row a column."""
     path = new_path(spark, "report")
-    io.write_parquet(docs(spark, sf_dir), path)
-    found = stats.generate_stats(spark.read.parquet(path))["column_stats"]
+    io.write_parquet_with_stats(docs(spark, sf_dir), path)
+    found = json.loads(read_file(io.stats_path(path)))["column_stats"]
     rows = [(c, s["dtype"], s["null_count"], s.get("unique_values", 0), float(s.get("max") or 0)) for c, s in found.items()]
     return spark.createDataFrame(rows, "col string, dtype string, null_count long, unique_values long, max double")
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Sequence
-from pathlib import Path
 from typing import Any
 from urllib.parse import unquote
 
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import number_of_characters, number_of_words
 from millrace.operators.stats import generate_stats
-from millrace.sources.staging import filesystem
+from millrace.sources.staging import filesystem, write_file
 
 #: Name of the column of scan order that ``read_parquet(..., order=True)`` adds.
 ORDER = "__mr_scan"
@@ -72,13 +71,14 @@ def write_parquet(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 
 def write_stats(stats: dict[str, Any], path: str) -> None:
-    target = Path(path)
-    target.parent.mkdir(parents=True, exist_ok=True)
-    target.write_text(json.dumps(stats, indent=2, ensure_ascii=False, default=str), encoding="utf-8")
+    """The report as JSON at a path or URI."""
+    write_file(str(path), json.dumps(stats, indent=2, ensure_ascii=False, default=str))
 
 
 def stats_path(path: str) -> str:
-    return str(Path(path).with_suffix(".json"))
+    """Where a table's report goes: its path, with .json for the suffix."""
+    head, slash, name = str(path).rstrip("/").rpartition("/")
+    return f"{head}{slash}{name.rpartition('.')[0] or name}.json"
 
 
 def write_parquet_with_stats(df: DataFrame, path: str, text_column: str = "text") -> dict[str, Any]:
@@ -116,10 +116,18 @@ def read_shards(paths: Sequence[str], text_column: str = "text", spark: SparkSes
     return read_parquet(paths, text_column, spark)
 
 
-def combine_shards(paths: Sequence[str], output: str, spark: SparkSession | None = None) -> str:
-    """One shard: its path as it is; more: their rows written to ``output``."""
+def is_written(path: str) -> bool:
+    """Is a complete table at this path?"""
+    fs, at = filesystem(str(path))
+    return fs.get_file_info(f"{at}/_SUCCESS").is_file
+
+
+def combine_shards(paths: Sequence[str], output: str, spark: SparkSession | None = None, skip_existing: bool = False) -> str:
+    """One shard: its path as it is; more: their rows written to ``output``, unless it is there and may stay."""
     if len(paths) == 1:
         return str(paths[0])
+    if skip_existing and is_written(output):
+        return output
     frames = [read_parquet(p, spark=spark) for p in paths]
     for p, f in zip(paths, frames):
         if f.columns != frames[0].columns:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import json
 from collections.abc import Iterable
+from io import StringIO
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from millrace.functions.text import normalize_token, strip
 from millrace.scalar import CEFR_ORDER
 from millrace.scalar import normalize_token as scalar_token
+from millrace.sources.staging import read_file
 
 #: Levels of easy words and of words to replace, unless a caller names others.
 EASY, DIFFICULT = ("A1", "A2"), ("B2", "C1", "C2")
@@ -26,15 +28,13 @@ def load_mapping(path: str) -> dict[str, str]:
     """
     kind = Path(path).suffix.lower()
     if kind == ".json":
-        with open(path, encoding="utf-8") as f:
-            return {scalar_token(str(k)): scalar_token(str(v)) for k, v in json.load(f).items()}
+        return {scalar_token(str(k)): scalar_token(str(v)) for k, v in json.loads(read_file(str(path))).items()}
     if kind != ".csv":
         raise ValueError(f"neither .json nor .csv: {path}")
-    with open(path, encoding="utf-8", newline="") as f:
-        rows = iter(csv.reader(f))
-        header = [scalar_token(h) for h in next(rows, [])]
-        a, b = (header.index("from"), header.index("to")) if {"from", "to"} <= set(header) else (0, 1)
-        pairs = [(scalar_token(r[a]), scalar_token(r[b])) for r in rows if len(r) > max(a, b)]
+    rows = iter(csv.reader(StringIO(read_file(str(path)), newline="")))
+    header = [scalar_token(h) for h in next(rows, [])]
+    a, b = (header.index("from"), header.index("to")) if {"from", "to"} <= set(header) else (0, 1)
+    pairs = [(scalar_token(r[a]), scalar_token(r[b])) for r in rows if len(r) > max(a, b)]
     return {k: v for k, v in pairs if k and v and k != v}
 
 
@@ -89,3 +89,26 @@ class CEFRIndex:
     def difficult(self, levels: Iterable[str] = DIFFICULT) -> DataFrame:
         """Words from the lowest of the levels on."""
         return self.ranks.where(F.col("rank") >= min(CEFR_ORDER[x] for x in levels))
+
+
+def read_wordnet(directory: str, spark: SparkSession | None = None) -> DataFrame:
+    """(word, synonym, freq): the pairs of each synset in WordNet's database files, for ``best_synonyms``.
+
+    Synsets are the lines of data.noun, data.verb, data.adj and data.adv; freq is the synonym's count over its
+    senses in index.sense (0 where it has none). A synset has at most 255 words, so its pairs are bounded.
+    """
+    spark = spark or SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+
+    def lines(pattern: str) -> DataFrame:
+        # the licence's lines at the head of a file start with spaces
+        return spark.read.option("pathGlobFilter", pattern).text(directory).where(~F.col("value").startswith("  ")).select(F.split("value", " ").alias("f"))
+
+    synsets = lines("data.*").select("f", F.conv(F.col("f")[3], 16, 10).cast("int").alias("n"))
+    # words stand at every second place from the fifth on; adjectives may have a marker in brackets
+    plain = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.lower(F.regexp_replace(F.get(F.col("f"), i * 2 + 4), r"\([a-z]+\)$", "")))
+    words = synsets.select(F.monotonically_increasing_id().alias("synset"), F.col("f")[2].alias("kind"), plain.alias("words"))
+    pairs = words.select(F.explode("words").alias("word"), "words").select("word", F.explode("words").alias("synonym")).where("word <> synonym").distinct()
+    senses = lines("index.sense").select(F.lower(F.split(F.col("f")[0], "%")[0]).alias("synonym"), F.col("f")[3].cast("long").alias("c"))
+    freq = senses.groupBy("synonym").agg(F.sum("c").alias("freq"))
+    clean = [F.replace(c, F.lit("_"), F.lit(" ")).alias(c) for c in ("word", "synonym")]
+    return pairs.join(freq, "synonym", "left").select(*clean, F.coalesce("freq", F.lit(0)).cast("long").alias("freq"))

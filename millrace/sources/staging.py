@@ -24,6 +24,21 @@ def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
+def write_file(uri: str, text: str) -> None:
+    """One small file, from the driver."""
+    fs, path = filesystem(uri)
+    if "/" in path:
+        fs.create_dir(path.rpartition("/")[0], recursive=True)
+    with fs.open_output_stream(path) as out:
+        out.write(text.encode())
+
+
+def read_file(uri: str) -> str:
+    fs, path = filesystem(uri)
+    with fs.open_input_stream(path) as f:
+        return f.read().decode()
+
+
 def work_dir(spark: SparkSession) -> str:
     """This application's folder inside ``spark.checkpoint.dir``, which every executor can reach.
 
