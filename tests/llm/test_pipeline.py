@@ -17,7 +17,7 @@ from millrace.llm.secrets import redact_text
 from tests.llm.test_mixing import plain_targets, words
 from tests.llm.test_packing import check, pieces_of
 from tests.llm.test_scans import PLAIN, plain_quality
-from tests.llm.test_simhash import brute
+from tests.llm.test_simhash import brute_groups
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 WHOLE = Tokenizer.from_file(default_vocab())
@@ -47,15 +47,11 @@ def kept_by_quality(rows):
 
 def one_of_each_group(rows):
     """The rows that the near-dedup keeps: of a group the least id, null only where all are."""
-    out = {}
-    for r, (_, _, least), k in zip(rows, brute([(r[0], r[1]) for r in rows]), range(len(rows))):
-        if r[0] == least:
-            out.setdefault((least, brute_group(rows, k)), r)
-    return list(out.values())
-
-
-def brute_group(rows, k):
-    return k if rows[k][0] is None else -1
+    best = {}
+    for r, group in zip(rows, brute_groups([r[1] for r in rows], corpus_pipeline.COPY_VIEWS, corpus_pipeline.COPY_RADIUS)):
+        if group not in best or (r[0] is None, r[0] or 0) < (best[group][0] is None, best[group][0] or 0):
+            best[group] = r
+    return list(best.values())
 
 
 def plain_mix(rows):
