@@ -110,20 +110,20 @@ def _pack_round(capacity: int, task_items: int, last: bool):
 def pack(items: DataFrame, length: Column, capacity: int, fan_in: int = FAN_IN, task_items: int = TASK_ITEMS) -> DataFrame:
     """``items`` with ``sequence_id`` and ``offset``: bins of at most ``capacity``, as few as can be.
 
-    Round 0 packs each partition's items on their own, ``task_items`` at a time, by best-fit decreasing. Bins with at most SLACK
-    room left are done. The others go on as items of their fill to a round with ``fan_in`` times fewer
-    tasks (more where those would hold over ``task_items``), until one is left or a round can no longer
-    shrink. A task never holds more than its share of items; nothing is left out, the last round's
+    Round 0 packs each task's items, spread by hash, on their own, ``task_items`` at a time, by best-fit decreasing. Bins with at most SLACK
+    room left are done. The others go on, mixed, as items of their fill to a round with ``fan_in`` times fewer
+    tasks (more where those would hold over ``task_items``), until one is left or a mixed round of as many tasks
+    takes away less than a hundredth of the open bins. A task never holds more than its share of items; nothing is left out, the last round's
     bins are done as they are. Lengths must be from 1 to ``capacity``. An empty table stays empty.
     """
     item = "__mr_item"
     table = stage(items.withColumn(item, F.monotonically_increasing_id()).withColumn("__mr_size", length.cast("long")), "items")
     todo = table.select(F.col(item).alias("item"), F.col("__mr_size").alias("size"))
     parts = -(-todo.count() // task_items)
-    if parts <= 1:
-        todo = todo.coalesce(1)
+    # by hash, so that every task has its share of every size, whatever the order of the input
+    todo = todo.coalesce(1) if parts <= 1 else todo.repartition(parts, "item")
     schema = "item long, bin long, offset long, fill long, done boolean"
-    rounds = []
+    rounds, before = [], None
     while True:
         last = parts <= 1
         found = stage(todo.mapInArrow(_pack_round(capacity, task_items, last), schema), "bins")
@@ -133,13 +133,17 @@ def pack(items: DataFrame, length: Column, capacity: int, fan_in: int = FAN_IN,
         open_bins = found.where("NOT done").groupBy("bin").agg(F.max("fill").alias("size")).withColumnRenamed("bin", "item")
         left = open_bins.count()
         fewer = max(-(-parts // fan_in), -(-left // task_items), 1)
-        if not left or fewer >= parts:
+        if not left or before is not None and fewer >= parts and left > 0.99 * before:
             break
-        todo, parts = open_bins.repartition(fewer, "item"), fewer
-    placed = rounds[0].select("item", "bin", "offset")
-    for found in rounds[1:]:
-        up = found.select(F.col("item").alias("bin"), F.col("bin").alias("up"), F.col("offset").alias("shift"))
-        placed = placed.join(up, "bin", "left").select("item", F.coalesce("up", "bin").alias("bin"), (F.col("offset") + F.coalesce("shift", F.lit(0))).alias("offset"))
+        todo, parts, before = open_bins.repartition(fewer, "item"), fewer, left
+    # from the top of the tree down, so that only the last join has the whole table
+    placed = None
+    for found in reversed(rounds):
+        own = found.select("item", "bin", "offset")
+        if placed is not None:
+            up = placed.select(F.col("item").alias("bin"), F.col("bin").alias("up"), F.col("offset").alias("shift"))
+            own = own.join(up, "bin", "left").select("item", F.coalesce("up", "bin").alias("bin"), (F.col("offset") + F.coalesce("shift", F.lit(0))).alias("offset"))
+        placed = own
     own = [c for c in items.columns if c.lower() not in ("sequence_id", "offset")]
     out = table.join(placed.withColumnRenamed("item", item).withColumnRenamed("bin", "__mr_bin").withColumnRenamed("offset", "__mr_at"), item)
     return out.select(*[F.col(f"`{c}`") for c in own], F.col("__mr_bin").alias("sequence_id"), F.col("__mr_at").alias("offset"))

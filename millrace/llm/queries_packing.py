@@ -16,4 +16,6 @@ def packed(docs: DataFrame) -> DataFrame:
 
 
 def op4_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of 1024 tokens. A null text is its end token alone; repeated rows and null
+    ids are documents of their own; no documents, no rows."""
     return packed(spread(spark.read.parquet(f"{sf_dir}/documents.parquet")))

@@ -56,6 +56,13 @@ def test_bins_that_nothing_fits_are_done(spark):
     assert check(pack(df, F.col("length"), 1024, task_items=100).collect(), 1024) == 900
 
 
+def test_sizes_that_lie_apart_are_mixed(spark):
+    """Long items in some partitions and short ones in others, as in files sorted by size: round 0 pairs none."""
+    long, short = (spark.range(3000).repartition(3).select(F.col("id"), F.lit(n).alias("length")) for n in (600, 400))
+    rows = pack(long.unionByName(short), F.col("length"), 1024, task_items=1000).collect()
+    assert check(rows, 1024) <= 1.02 * 3000
+
+
 def test_same_packing_when_run_again(spark):
     df = spark.range(3000).select("id", (F.col("id") * 37 % 900 + 1).alias("length")).coalesce(1)
     one, two = (sorted(map(tuple, pack(df, F.col("length"), 1024, task_items=300).collect())) for _ in range(2))
