@@ -12,12 +12,11 @@ import json
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import encoder
@@ -26,8 +25,8 @@ from .shared import filesystem, stage
 
 MAGIC = b"MRPLANE1"
 BLOCK = 1 << 16
-#: Bytes of text that one file takes, but for a single larger one.
-FILE_BYTES = 56 << 20
+#: Bytes of text that one file takes at least, but for the last; more, up to the second figure, where there would be over MANY_FILES.
+FILE_BYTES, LARGE_FILE, MANY_FILES = 56 << 20, 2 << 30, 4096
 
 
 def to_planes(ids: np.ndarray, kind: str) -> list[bytes]:
@@ -189,7 +188,7 @@ def write_tokens(
     """Encode every text and write the ids to files in ascending id order; returns one row a file.
 
     Exact counts of text bytes, on a narrow staged table, cut the order of (id, content, arrival) into
-    files of near ``file_bytes`` of text, whatever the ids' skew. Texts are then encoded where they are
+    files of near ``file_bytes`` of text (more for a table that would have over MANY_FILES), whatever the ids' skew. Texts are then encoded where they are
     read, and one exchange moves the compact ids to their files. Ids are null-first; repeated rows
     follow each other, and where a boundary falls among wholly equal rows it matters not which go where;
     a null text is empty; an empty table gives no file. Rows: file (from 0), path, n_docs, n_tokens,
@@ -199,7 +198,7 @@ def write_tokens(
     own_id, text = F.col(id_col), F.col(text_col)
     keys = keyed(df.select(own_id.alias("id"), (F.octet_length(F.coalesce(text, F.lit(""))) + 1).alias("w"), F.xxhash64(text).alias("tie")), "id", F.col("w"), F.col("tie"))
     total = keys.agg(F.coalesce(F.sum("w"), F.lit(0))).first()[0]
-    parts = max(1, -(-total // file_bytes))
+    parts = max(1, -(-total // max(file_bytes, min(LARGE_FILE, total // MANY_FILES))))
     cuts = find_splitters(keys, parts, 0.05)
     rows = df.select(
         own_id.alias("id"), text.alias("text"), F.coalesce(own_id.cast("long"), F.lit(LOW)).alias(KEYS[0]), F.xxhash64(text).alias(KEYS[1]), F.monotonically_increasing_id().alias(KEYS[2]),
@@ -225,9 +224,10 @@ def write_tokens(
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, (pa.int32(), pa.string(), pa.int64(), pa.int64()))], names=["file", "path", "n_docs", "n_tokens"])
 
     moved = rows.repartitionById(parts, F.col("part")).sortWithinPartitions("part", *KEYS)
-    files = stage(moved.select("part", "id", "n", "ids").mapInArrow(write, "file int, path string, n_docs long, n_tokens long"), "files").orderBy("file").collect()
-    starts = accumulate((f["n_tokens"] for f in files), initial=0)
-    return df.sparkSession.createDataFrame([(*f, at) for f, at in zip(files, starts)], "file int, path string, n_docs long, n_tokens long, start long")
+    files = stage(moved.select("part", "id", "n", "ids").mapInArrow(write, "file int, path string, n_docs long, n_tokens long"), "files")
+    # a row a file: few enough for one task
+    before = F.sum("n_tokens").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
+    return files.withColumn("start", F.coalesce(before, F.lit(0)))
 
 
 def read_tokens(files: DataFrame) -> DataFrame:

@@ -13,6 +13,8 @@ END_ID = 2
 
 
 def op3_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids by the files that hold them. A null text is its end token alone; repeated rows follow each
+    other, null ids come first; no documents, no rows."""
     docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     files = write_tokens(docs, new_path(spark, "tokens"), default_vocab(), END_ID)
     return read_tokens(files).select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
