@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from dataclasses import dataclass
 from itertools import islice
@@ -17,7 +18,10 @@ from .shared import ascii_bytes, drop_names, struct_udf
 DEFAULT_MODEL = "piece_bpe_32k.model"
 _SYMBOLS = b"#*$%&|<>"
 _REMEMBERED, _LONG = 300_000, 48
-METRICS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_tokens long, chars_per_token double, byte_share double, entropy double, script string"
+#: Bits of a word's number in a packed 3-word window.
+_NUMBER = 21
+_LETTER = re.compile(r"[^\W\d_]")
+METRICS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_letterless long, n_tokens long, chars_per_token double, byte_share double, entropy double, script string"
 NAMES = tuple(f.split()[0] for f in METRICS.split(", "))
 
 
@@ -42,23 +46,39 @@ class WordTokens:
         size = self.model.get_piece_size()
         self.is_byte = np.array([self.model.is_byte(i) or self.model.is_unknown(i) for i in range(size)])
         self.memo: dict[bytes, bytes] = {}
+        self.number: dict[bytes, int] = {}
+        self.letterless: set[bytes] = set()
+        self.next = 0
 
     def learn(self, words: set[bytes]) -> list[bytes]:
-        """Remember ids of the words that are new; returns those too long to keep."""
-        if len(self.memo) > _REMEMBERED:
+        """Remember ids and numbers of the words that are new; returns those too long to keep."""
+        if len(self.memo) > _REMEMBERED or self.next >> (_NUMBER - 1):
             # the first half came early, so it is the commoner
             self.memo = dict(islice(self.memo.items(), _REMEMBERED // 2))
+            self.number = {w: k for k, w in enumerate(self.memo)}
+            self.letterless.intersection_update(self.memo)
+            self.next = len(self.memo)
         new = list(words.difference(self.memo))
-        ids = self.model.encode([w.decode("utf-8", "replace") for w in new], num_threads=1)
-        self.memo.update((w, np.array(i, np.int32).tobytes()) for w, i in zip(new, ids))
+        plain = [w.decode("utf-8", "replace") for w in new]
+        self.memo.update((w, np.array(i, np.int32).tobytes()) for w, i in zip(new, self.model.encode(plain, num_threads=1)))
+        self.number.update(zip(new, range(self.next, self.next + len(new))))
+        self.letterless.update(w for w, t in zip(new, plain) if not _LETTER.search(t))
+        self.next += len(new)
         return [w for w in new if len(w) > _LONG]
 
+    def forget(self, words: list[bytes]) -> None:
+        for w in words:
+            del self.memo[w], self.number[w]
+            self.letterless.discard(w)
+
 
 _models: dict[str, WordTokens] = {}
 
 
 def _script(text: str) -> str:
     """The commonest script of a text by code-point ranges of its letters."""
+    if text.isascii():
+        return "latin" if _LETTER.search(text) else "none"
     codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
     counts = {
         "latin": np.count_nonzero(((codes | 32) >= 97) & ((codes | 32) <= 122) | (codes >= 0xC0) & (codes < 0x250)),
@@ -71,13 +91,22 @@ def _script(text: str) -> str:
     return best if counts[best] else "none"
 
 
-def count_repeats(words: list[bytes]) -> int:
-    """Words that lie in a 3-word window found twice or more."""
-    grams = list(zip(words, words[1:], words[2:]))
-    counts = Counter(grams)
-    if len(counts) == len(grams):
+def count_repeats(words: list[bytes], number: dict[bytes, int]) -> int:
+    """Words that lie in a 3-word window found twice or more; ``number`` tells words apart."""
+    if len(words) < 4:
         return 0
-    again = np.fromiter((counts[g] > 1 for g in grams), bool, len(grams))
+    codes = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+    if codes.max() >> _NUMBER:  # too many words at once to pack
+        counts = Counter(zip(words, words[1:], words[2:]))
+        again = np.fromiter((counts[g] > 1 for g in zip(words, words[1:], words[2:])), bool, len(words) - 2)
+    else:
+        grams = codes[:-2] << 2 * _NUMBER | codes[1:-1] << _NUMBER | codes[2:]
+        ordered = np.sort(grams)
+        twice = ordered[1:][ordered[1:] == ordered[:-1]]
+        if not len(twice):
+            return 0
+        at = np.searchsorted(twice, grams)
+        again = twice[np.minimum(at, len(twice) - 1)] == grams
     hit = np.zeros(len(words), bool)
     for k in range(3):
         hit[k : k + len(again)] |= again
@@ -94,8 +123,7 @@ def measure(texts: list[bytes], model_path: str) -> list[list]:
         group = [(data, data.split()) for data in texts[k : k + 64]]
         long = model.learn(set().union(*[words for _, words in group]))
         rows += [_measured(data, words, model) for data, words in group]
-        for w in long:
-            del model.memo[w]
+        model.forget(long)
     return [list(c) for c in zip(*rows)] if rows else [[] for _ in NAMES]
 
 
@@ -113,7 +141,7 @@ def _measured(data: bytes, words: list[bytes], model: WordTokens) -> tuple:
         ratio, share = (len(text) - spaces) / tokens, float(model.is_byte[ids].mean())
     else:
         entropy = ratio = share = None
-    return n, len(text) - spaces, symbols, len(lines) - len(set(lines)), count_repeats(words), tokens, ratio, share, entropy, _script(text)
+    return n, len(text) - spaces, symbols, len(lines) - len(set(lines)), count_repeats(words, model.number), sum(map(model.letterless.__contains__, words)), tokens, ratio, share, entropy, _script(text)
 
 
 #: Wide bands: what they reject is text that a vocabulary of many languages plainly doesn't fit. English, French,
@@ -157,14 +185,15 @@ def within_bands(lang: Column | None, languages: dict[str, Band], scripts: dict[
 
 
 def quality_rules(
-    df: DataFrame, text_col: str = "text", lang_col: str | None = "lang", min_words: int = 50, max_repeat_percent: int = 50,
+    df: DataFrame, text_col: str = "text", lang_col: str | None = "lang", min_words: int = 50, max_repeat_percent: int = 50, min_letter_percent: int = 80,
     languages: dict[str, Band] = LANGUAGE_BANDS, scripts: dict[str, Band] = SCRIPT_BANDS, model_path: str | None = None,
 ) -> DataFrame:
     """``df`` with METRICS, ``base_failed`` and ``kept``, replacing columns of those names.
 
     base_failed: fewer than ``min_words`` words, or over ``max_repeat_percent`` of them in repeated
     3-word windows. kept: not base_failed, and characters per token, byte-fallback share, token
-    entropy and tokens per word within the band of the row's language or, if it has none (or null), of its script. Words
+    entropy and tokens per word within the band of the row's language or, if it has none (or null), of its script,
+    and at least ``min_letter_percent`` of its words with a letter (80 as in the published Gopher rules). Words
     are encoded on their own, so fertility is a sum over words. A null or empty text has no words: it
     fails. Texts of any length are measured whole, repeated rows alike, other columns (null or not) are
     carried through, an empty table stays empty. No shuffle: every row is measured where it is read.
@@ -178,4 +207,5 @@ def quality_rules(
     failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_percent)
     rows = rows.withColumn("base_failed", failed)
     fits = within_bands(F.col("__mr_lang"), languages, scripts)
-    return rows.withColumn("kept", ~F.col("base_failed") & F.coalesce(fits, F.lit(False))).drop("__mr_lang")
+    lettered = F.col("n_letterless") * 100 <= F.col("n_words") * (100 - min_letter_percent)
+    return rows.withColumn("kept", ~F.col("base_failed") & lettered & F.coalesce(fits, F.lit(False))).drop("__mr_lang")

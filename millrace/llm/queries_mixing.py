@@ -11,6 +11,8 @@ WEIGHTS, LIMIT, SEED = (5, 2, 1), 3, "mix:"
 
 
 def op8_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's part in the mix. A null text has no words, a null source is a source; ties go by size and
+    doc_id; no documents, no rows."""
     docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "source", word_count(F.col("text")).alias("words"))
     return mix(docs.select("doc_id", "source", "words"), F.col("words"), WEIGHTS, LIMIT, SEED).select("doc_id", "size", "source_size", "target", "taken")
 

@@ -5,6 +5,8 @@ import random
 import re
 
 import numpy as np
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -195,8 +197,54 @@ def test_quality_verdicts(spark):
     assert quality_rules(df.drop("lang").limit(3)).where("kept").count() == 3
 
 
-def test_count_repeats():
-    assert count_repeats("a b c a b c".encode().split()) == 6 and count_repeats(b"a b c d".split()) == 0 and count_repeats([]) == 0 and count_repeats(b"x x x x".split()) == 4
+def plain_repeats(words):
+    grams = list(zip(words, words[1:], words[2:]))
+    return len({k + d for k, g in enumerate(grams) if grams.count(g) > 1 for d in range(3)})
+
+
+@pytest.mark.parametrize("start", [0, 1 << 21])
+def test_count_repeats(start):
+    """Windows packed in an integer, and as tuples where a text has too many words to pack."""
+    rnd = random.Random(1)
+    for n in (0, 1, 2, 3, 4, 7, 60, 200):
+        words = [b"%d" % rnd.randrange(6) for _ in range(n)]
+        assert count_repeats(words, {w: start + k for k, w in enumerate(sorted(set(words)))}) == plain_repeats(words)
+
+
+def test_metrics_equal_plain_ones(spark, monkeypatch):
+    """Fertility by whole definitions, while the memo is cut down again and again."""
+    import math
+
+    import public_tokenizers
+    import sentencepiece
+
+    from millrace.llm import quality
+
+    monkeypatch.setattr(quality, "_REMEMBERED", 20)
+    monkeypatch.setattr(quality, "_models", {})
+    path = public_tokenizers.path(quality.DEFAULT_MODEL)
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    rnd = random.Random(2)
+    bank = "river | mill 12 Größe *** naïve 日本 été bridge x1 __ вода !!".split() + ["z" * 60]
+    texts = [" ".join(rnd.choice(bank) for _ in range(rnd.randrange(0, 90))) for _ in range(150)]
+    got = dict(zip(quality.NAMES, quality.measure([t.encode() for t in texts], path)))
+    for k, text in enumerate(texts):
+        words = text.split()
+        ids = [i for w in words for i in model.encode(w)]
+        counts = Counter(ids)
+        assert got["n_tokens"][k] == len(ids) and got["n_repeat_words"][k] == plain_repeats(words)
+        assert got["n_letterless"][k] == sum(not any(c.isalpha() for c in w) for w in words)
+        if ids:
+            assert got["chars_per_token"][k] == pytest.approx(sum(map(len, words)) / len(ids))
+            assert got["byte_share"][k] == pytest.approx(sum(model.is_byte(i) or model.is_unknown(i) for i in ids) / len(ids))
+            assert got["entropy"][k] == pytest.approx(-sum(c / len(ids) * math.log2(c / len(ids)) for c in counts.values()), abs=1e-9)
+
+
+def test_texts_of_signs_are_rejected(spark):
+    prose = PLAIN.split()[:60]
+    rows = [(1, " ".join(prose), "en"), (2, " | ".join(prose), "en"), (3, " ".join(w + " - " * (k % 5 == 0) for k, w in enumerate(prose)), "en")]
+    got = {r["doc_id"]: r["kept"] for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got == {1: True, 2: False, 3: True}
 
 
 def test_queries(spark, edge, edge_rows, tmp_path):
