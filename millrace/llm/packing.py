@@ -14,7 +14,7 @@ from .shared import stage
 
 #: Bins with at most this much room left count as full and leave the tree.
 SLACK = 4
-#: Tasks of one round that feed one task of the next, and items that a task should hold.
+#: Tasks of one round that feed one task of the next, and items that are packed at once (a task of the first round has up to twice as many).
 FAN_IN, TASK_ITEMS = 8, 200_000
 
 
@@ -119,7 +119,7 @@ def pack(items: DataFrame, length: Column, capacity: int, fan_in: int = FAN_IN,
     item = "__mr_item"
     table = stage(items.withColumn(item, F.monotonically_increasing_id()).withColumn("__mr_size", length.cast("long")), "items")
     todo = table.select(F.col(item).alias("item"), F.col("__mr_size").alias("size"))
-    parts = -(-todo.count() // task_items)
+    parts = -(-todo.count() // (2 * task_items))
     # by hash, so that every task has its share of every size, whatever the order of the input
     todo = todo.coalesce(1) if parts <= 1 else todo.repartition(parts, "item")
     schema = "item long, bin long, offset long, fill long, done boolean"
