@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass
-from itertools import islice
+from itertools import count, islice
 
 import numpy as np
 import public_tokenizers
@@ -46,29 +46,23 @@ class WordTokens:
         size = self.model.get_piece_size()
         self.is_byte = np.array([self.model.is_byte(i) or self.model.is_unknown(i) for i in range(size)])
         self.memo: dict[bytes, bytes] = {}
-        self.number: dict[bytes, int] = {}
         self.letterless: set[bytes] = set()
-        self.next = 0
 
     def learn(self, words: set[bytes]) -> list[bytes]:
-        """Remember ids and numbers of the words that are new; returns those too long to keep."""
-        if len(self.memo) > _REMEMBERED or self.next >> (_NUMBER - 1):
+        """Remember ids of the words that are new, and which have no letter; returns those too long to keep."""
+        if len(self.memo) > _REMEMBERED:
             # the first half came early, so it is the commoner
             self.memo = dict(islice(self.memo.items(), _REMEMBERED // 2))
-            self.number = {w: k for k, w in enumerate(self.memo)}
             self.letterless.intersection_update(self.memo)
-            self.next = len(self.memo)
         new = list(words.difference(self.memo))
         plain = [w.decode("utf-8", "replace") for w in new]
         self.memo.update((w, np.array(i, np.int32).tobytes()) for w, i in zip(new, self.model.encode(plain, num_threads=1)))
-        self.number.update(zip(new, range(self.next, self.next + len(new))))
         self.letterless.update(w for w, t in zip(new, plain) if not _LETTER.search(t))
-        self.next += len(new)
         return [w for w in new if len(w) > _LONG]
 
     def forget(self, words: list[bytes]) -> None:
         for w in words:
-            del self.memo[w], self.number[w]
+            del self.memo[w]
             self.letterless.discard(w)
 
 
@@ -91,12 +85,13 @@ def _script(text: str) -> str:
     return best if counts[best] else "none"
 
 
-def count_repeats(words: list[bytes], number: dict[bytes, int]) -> int:
-    """Words that lie in a 3-word window found twice or more; ``number`` tells words apart."""
+def count_repeats(words: list[bytes], most: int = 1 << _NUMBER) -> int:
+    """Words that lie in a 3-word window found twice or more. Up to ``most`` different words, windows are packed integers."""
     if len(words) < 4:
         return 0
+    number: defaultdict[bytes, int] = defaultdict(count().__next__)
     codes = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-    if codes.max() >> _NUMBER:  # too many words at once to pack
+    if len(number) > most:  # too many words at once to pack
         counts = Counter(zip(words, words[1:], words[2:]))
         again = np.fromiter((counts[g] > 1 for g in zip(words, words[1:], words[2:])), bool, len(words) - 2)
     else:
@@ -141,7 +136,7 @@ def _measured(data: bytes, words: list[bytes], model: WordTokens) -> tuple:
         ratio, share = (len(text) - spaces) / tokens, float(model.is_byte[ids].mean())
     else:
         entropy = ratio = share = None
-    return n, len(text) - spaces, symbols, len(lines) - len(set(lines)), count_repeats(words, model.number), sum(map(model.letterless.__contains__, words)), tokens, ratio, share, entropy, _script(text)
+    return n, len(text) - spaces, symbols, len(lines) - len(set(lines)), count_repeats(words), sum(map(model.letterless.__contains__, words)), tokens, ratio, share, entropy, _script(text)
 
 
 #: Wide bands: what they reject is text that a vocabulary of many languages plainly doesn't fit. English, French,

@@ -202,13 +202,13 @@ def plain_repeats(words):
     return len({k + d for k, g in enumerate(grams) if grams.count(g) > 1 for d in range(3)})
 
 
-@pytest.mark.parametrize("start", [0, 1 << 21])
-def test_count_repeats(start):
+@pytest.mark.parametrize("most", [2, 1 << 21])
+def test_count_repeats(most):
     """Windows packed in an integer, and as tuples where a text has too many words to pack."""
     rnd = random.Random(1)
     for n in (0, 1, 2, 3, 4, 7, 60, 200):
         words = [b"%d" % rnd.randrange(6) for _ in range(n)]
-        assert count_repeats(words, {w: start + k for k, w in enumerate(sorted(set(words)))}) == plain_repeats(words)
+        assert count_repeats(words, most) == plain_repeats(words)
 
 
 def test_metrics_equal_plain_ones(spark, monkeypatch):
