@@ -125,13 +125,14 @@ class LLMAnnotator(BaseAnnotator):
 
     ``client_factory`` makes a callable from prompt to reply, once a task; failures give sentinels by
     class: ``Error: JSON Decode``, ``Error: API Value``, ``Error: API Call``. One request at a time runs
-    in a task, so partitions bound the concurrency.
+    in a task, so partitions bound the concurrency. A null text has null labels without a request, a blank
+    one too if ``skip_blank``.
     """
 
     output_schema = "topic string, education string"
 
-    def __init__(self, client_factory: Callable[[], Callable[[str], str]], max_text_length: int = MOST_CHARACTERS) -> None:
-        self.client_factory, self.max_text_length = client_factory, max_text_length
+    def __init__(self, client_factory: Callable[[], Callable[[str], str]], max_text_length: int = MOST_CHARACTERS, skip_blank: bool = True) -> None:
+        self.client_factory, self.max_text_length, self.skip_blank = client_factory, max_text_length, skip_blank
         self._client: Callable[[str], str] | None = None
 
     def __getstate__(self) -> dict:
@@ -149,7 +150,7 @@ class LLMAnnotator(BaseAnnotator):
         )
 
     def annotate(self, text: str | None) -> dict[str, str | None]:
-        if text is None or not text.strip():
+        if text is None or (self.skip_blank and not text.strip()):
             return dict.fromkeys(("topic", "education"))
         if self._client is None:
             self.open()
