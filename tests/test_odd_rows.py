@@ -17,7 +17,7 @@ def odd(spark, tmp_path_factory):
     return path
 
 
-@pytest.mark.parametrize("name", ["annotate_llm", "synonym_native", "synonym_arrow"])
+@pytest.mark.parametrize("name", ["annotate_llm", "synonym_native", "synonym_arrow", "synonym_join"])
 def test_query_equals_sql_on_odd_texts(spark, odd, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{odd}/documents.parquet/*.parquet'")
