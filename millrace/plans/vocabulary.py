@@ -8,7 +8,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from io import StringIO
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import is_alpha, lemma
@@ -36,14 +36,43 @@ def manual_pairs(seed: DataFrame, ranks: DataFrame, easy: DataFrame) -> DataFram
     return known.join(easy.select(F.col("headword").alias("dst")), "dst", "left_semi").select("src", "dst")
 
 
-def best_synonyms(targets: DataFrame, easy: DataFrame, thesaurus: DataFrame, allow_multiword: bool = False) -> DataFrame:
-    """(src, dst): of a word's easy synonyms (word, synonym, freq) that of least rank, then most frequent, shortest, first."""
-    name = F.lower(F.replace("synonym", F.lit("_"), F.lit(" ")))
-    rows = thesaurus.select(F.lower("word").alias("src"), name.alias("dst"), "freq").where(F.col("src") != F.col("dst"))
+@dataclass(frozen=True)
+class ClassThesaurus:
+    """A thesaurus by classes: each of ``words`` (word, class) has all ``synonyms`` (class, synonym, freq) of its classes.
+
+    Says the same as their join, which grows with the product of a class's words and synonyms.
+    """
+
+    words: DataFrame
+    synonyms: DataFrame
+
+    def pairs(self) -> DataFrame:
+        return self.words.join(self.synonyms, "class").select("word", "synonym", "freq")
+
+
+def best_synonyms(targets: DataFrame, easy: DataFrame, thesaurus: DataFrame | ClassThesaurus, allow_multiword: bool = False) -> DataFrame:
+    """(src, dst): of a word's easy synonyms (word, synonym, freq) that of least rank, then most frequent, shortest, first.
+
+    Of a class only its two best synonyms are looked at: the order doesn't depend on the word, and the
+    word itself is at most one of them.
+    """
+    by_class = isinstance(thesaurus, ClassThesaurus)
+    pairs = thesaurus.synonyms if by_class else thesaurus.withColumnRenamed("word", "src").withColumn("src", F.lower("src"))
+    key = "class" if by_class else "src"
+    rows = pairs.select(key, F.lower(F.replace("synonym", F.lit("_"), F.lit(" "))).alias("dst"), "freq")
     if not allow_multiword:
         rows = rows.where(~F.col("dst").contains(" "))
-    rows = rows.join(targets.select(F.col("headword").alias("src")), "src", "left_semi").join(easy.select(F.col("headword").alias("dst"), "rank"), "dst")
+    known = targets.select(F.col("headword").alias("src"))
+    if not by_class:
+        rows = rows.where(F.col("src") != F.col("dst")).join(known, "src", "left_semi")
+    rows = rows.join(easy.select(F.col("headword").alias("dst"), "rank"), "dst")
     order = F.struct("rank", (-F.coalesce("freq", F.lit(0))).alias("f"), F.length("dst").alias("n"), "dst")
+    if by_class:
+        once = rows.groupBy("class", "dst").agg(F.min(order).alias("way"))
+        two = once.withColumn("k", F.row_number().over(Window.partitionBy("class").orderBy("way"))).where("k <= 2").drop("k", "dst")
+        words = thesaurus.words.select(F.lower("word").alias("src"), "class").join(known, "src", "left_semi")
+        rows = words.join(two, "class").where(F.col("src") != F.col("way.dst"))
+        order = F.col("way")
     return rows.groupBy("src").agg(F.min(order)["dst"].alias("dst"))
 
 
@@ -87,7 +116,7 @@ class Vocabulary:
 
 
 def build_vocabulary(
-    index: CEFRIndex, thesaurus: DataFrame | None = None, easy_levels: Sequence[str] = EASY, difficult_levels: Sequence[str] = DIFFICULT,
+    index: CEFRIndex, thesaurus: DataFrame | ClassThesaurus | None = None, easy_levels: Sequence[str] = EASY, difficult_levels: Sequence[str] = DIFFICULT,
     include_b1: bool = False, allow_multiword: bool = False, min_alpha_only: bool = False, seed: DataFrame | None = None,
 ) -> Vocabulary:
     """Map difficult words to easy ones; a manual pair goes before a synonym, and that before a base form.

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from millrace.operators import words
+from millrace.plans.vocabulary import ClassThesaurus, best_synonyms
 
 TEXTS = [
     "The the THE, don't Don't x'y'z 'tis rock'n'roll dogs' ''a'' a''b it's1s", "caf\u00e9x na\u00efve \u212a \u0130the \u017fet \u24d0b the\u0301m \U0001f600et a\u2019s",
@@ -27,3 +28,32 @@ def test_filters_on_words_see_no_token(spark):
     plan = late._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan and plan.index("regexp_replace") < plan.index("MapInArrow")
     assert sorted(map(tuple, late.collect())) == [("a", 3), ("c", 1)]
+
+
+def _classes(spark):
+    """Words that are among the best of their class, in two classes, upper-cased; synonyms twice, tied, not easy, of two words, without a count."""
+    members = [("Big", 1), ("huge", 1), ("huge", 2), ("vast", 2), ("great", 2), ("none", 3), ("big", 4), ("stranger", 1)]
+    synonyms = [(1, "big", 5), (1, "BIG", 9), (1, "large", 9), (1, "vast", 1), (1, "very_big", 99), (2, "great", None), (2, "fine", 0), (2, "large", 3), (3, "hard", 1), (4, "big", 1), (4, "none", 2)]
+    return ClassThesaurus(spark.createDataFrame(members, "word string, class int"), spark.createDataFrame(synonyms, "class int, synonym string, freq long"))
+
+
+def test_classes_say_what_their_pairs_say(spark):
+    easy = spark.createDataFrame([("big", 0), ("large", 0), ("great", 1), ("fine", 0), ("vast", 1), ("very big", 0)], "headword string, rank int")
+    targets = spark.createDataFrame([(w,) for w in ("big", "huge", "vast", "great", "none")], "headword string")
+    thesaurus = _classes(spark)
+    for multiword in (False, True):
+        found, expected = (sorted(map(tuple, best_synonyms(targets, easy, t, multiword).collect())) for t in (thesaurus, thesaurus.pairs()))
+        assert found == expected and len(found) == 4
+    assert dict(found)["big"] == "very big"
+
+
+def test_classes_are_not_multiplied_out(spark):
+    """A class of n words and n synonyms hands on at most two rows a word."""
+    rows = spark.range(3000)
+    one = F.expr("id DIV 3000").alias("class")
+    thesaurus = ClassThesaurus(rows.select(F.concat(F.lit("w"), "id").alias("word"), one), rows.select(one, F.concat(F.lit("s"), "id").alias("synonym"), F.lit(0).alias("freq")))
+    easy = rows.select(F.concat(F.lit("s"), "id").alias("headword"), F.lit(0).alias("rank"))
+    best = best_synonyms(rows.select(F.concat(F.lit("w"), "id").alias("headword")), easy, thesaurus)
+    assert best.count() == best.where("dst = 's0'").count() == 3000
+    plan = best._jdf.queryExecution().optimizedPlan().toString()
+    assert "WindowGroupLimit" in plan
