@@ -6,14 +6,13 @@ import csv
 import json
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from io import StringIO
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import is_alpha, lemma
 from millrace.sources.mappings import DIFFICULT, EASY, CEFRIndex, level_of
-from millrace.sources.staging import stage, write_file
+from millrace.sources.staging import open_output, stage, write_file
 
 #: Easy word: formal words for it.
 SEED = {
@@ -96,16 +95,26 @@ class Vocabulary:
         return {"targets": self.targets.count(), "mapped": self.mapping.count(), "unmapped": self.unmapped.count()}
 
     def write(self, directory: str) -> dict[str, int]:
-        """synonyms.json, synonyms.csv, unmapped.txt and build_stats.txt at a path or URI; a word list's size, so by the driver."""
+        """synonyms.json, synonyms.csv, unmapped.txt and build_stats.txt at a path or URI.
+
+        Single files in order, so by the driver, which holds one partition of the sorted rows at a time.
+        """
         out = str(directory).rstrip("/")
-        rows = self.mapping.orderBy("from").collect()
-        left = [r["headword"] for r in self.unmapped.orderBy("headword").collect()]
-        write_file(f"{out}/synonyms.json", json.dumps({r["from"]: r["to"] for r in rows}, ensure_ascii=False, indent=2))
-        table = StringIO(newline="")
-        csv.writer(table).writerows([self.mapping.columns, *[[x or "" for x in r] for r in rows]])
-        write_file(f"{out}/synonyms.csv", table.getvalue())
-        write_file(f"{out}/unmapped.txt", "".join(f"{w}\n" for w in left))
-        found = {"targets": self.targets.count(), "mapped": len(rows), "unmapped": len(left)}
+        found = {"targets": self.targets.count(), "mapped": 0, "unmapped": 0}
+        with open_output(f"{out}/synonyms.json") as words, open_output(f"{out}/synonyms.csv", newline="") as lines:
+            table = csv.writer(lines)
+            table.writerow(self.mapping.columns)
+            words.write("{")
+            for r in self.mapping.orderBy("from").toLocalIterator():
+                pair = f"{json.dumps(r['from'], ensure_ascii=False)}: {json.dumps(r['to'], ensure_ascii=False)}"
+                words.write(("," if found["mapped"] else "") + "\n  " + pair)
+                table.writerow([x or "" for x in r])
+                found["mapped"] += 1
+            words.write("\n}" if found["mapped"] else "}")
+        with open_output(f"{out}/unmapped.txt") as left:
+            for r in self.unmapped.orderBy("headword").toLocalIterator():
+                left.write(f"{r['headword']}\n")
+                found["unmapped"] += 1
         share = 100 * found["mapped"] / found["targets"] if found["targets"] else 0
         lines = {
             "Total difficult targets": found["targets"], "Mapped": f"{found['mapped']} ({share:.2f}%)", "Unmapped": found["targets"] - found["mapped"],
@@ -144,7 +153,7 @@ def build_vocabulary(
         .join(ranks.select(F.col("headword").alias("to"), level_of(F.col("rank")).alias("to_cefr")), "to", "left")
         .select(*"from to source from_cefr to_cefr".split())
     )
-    unmapped = targets.select("headword").join(mapping.select(F.col("from").alias("headword")), "headword", "left_anti")
+    unmapped = targets.select("headword").join(named.select(F.col("from").alias("headword")), "headword", "left_anti")
     options = {"WordNet used": thesaurus is not None, "Easy levels": ", ".join(easy_levels), "Difficult levels": ", ".join(levels)}
     return Vocabulary(mapping, unmapped, targets, options)
 

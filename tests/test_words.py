@@ -1,9 +1,13 @@
 """Words counted in the tasks that read them, held against the definition in columns."""
 
+import json
+
+import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators import words
-from millrace.plans.vocabulary import ClassThesaurus, best_synonyms
+from millrace.plans.vocabulary import ClassThesaurus, Vocabulary, best_synonyms
 
 TEXTS = [
     "The the THE, don't Don't x'y'z 'tis rock'n'roll dogs' ''a'' a''b it's1s", "caf\u00e9x na\u00efve \u212a \u0130the \u017fet \u24d0b the\u0301m \U0001f600et a\u2019s",
@@ -57,3 +61,17 @@ def test_classes_are_not_multiplied_out(spark):
     assert best.count() == best.where("dst = 's0'").count() == 3000
     plan = best._jdf.queryExecution().optimizedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+@pytest.mark.parametrize("rows", [[], [("b\"\u00e9", "x, y", "manual", "B2", None), ("a", "z", "wordnet", None, "A1")]])
+def test_files_are_written_without_collecting(spark, tmp_path, monkeypatch, rows):
+    mapping = spark.createDataFrame(rows, "from string, to string, source string, from_cefr string, to_cefr string")
+    words = spark.createDataFrame([("q",), ("a",), ("c",)], "headword string")
+    monkeypatch.setattr(DataFrame, "collect", lambda self: pytest.fail("collected"))
+    monkeypatch.setattr(type(mapping), "collect", lambda self: pytest.fail("collected"))
+    assert Vocabulary(mapping, words.where("headword <> 'a'"), words, {}).write(str(tmp_path)) == {"targets": 3, "mapped": len(rows), "unmapped": 2}
+    pairs = {r[0]: r[1] for r in sorted(rows)}
+    assert (tmp_path / "synonyms.json").read_text() == json.dumps(pairs, ensure_ascii=False, indent=2)
+    expected = [b"from,to,source,from_cefr,to_cefr", *([b"a,z,wordnet,,A1", '"b""\u00e9","x, y",manual,B2,'.encode()] if rows else [])]
+    assert (tmp_path / "synonyms.csv").read_bytes() == b"".join(x + b"\r\n" for x in expected)
+    assert (tmp_path / "unmapped.txt").read_text() == "c\nq\n"
