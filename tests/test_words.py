@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import words
 from millrace.plans.vocabulary import ClassThesaurus, Vocabulary, best_synonyms
+from millrace.sources.mappings import CEFRIndex
 
 TEXTS = [
     "The the THE, don't Don't x'y'z 'tis rock'n'roll dogs' ''a'' a''b it's1s", "caf\u00e9x na\u00efve \u212a \u0130the \u017fet \u24d0b the\u0301m \U0001f600et a\u2019s",
@@ -75,3 +76,12 @@ def test_files_are_written_without_collecting(spark, tmp_path, monkeypatch, rows
     expected = [b"from,to,source,from_cefr,to_cefr", *([b"a,z,wordnet,,A1", '"b""\u00e9","x, y",manual,B2,'.encode()] if rows else [])]
     assert (tmp_path / "synonyms.csv").read_bytes() == b"".join(x + b"\r\n" for x in expected)
     assert (tmp_path / "unmapped.txt").read_text() == "c\nq\n"
+
+
+def test_flags_need_no_join(spark):
+    ranks = spark.createDataFrame([(w, r) for r, w in enumerate("abcdef")], "headword string, rank int")
+    index = CEFRIndex(ranks)
+    flags = index.flagged(("A1", "B1"), ("B1", "C2"))
+    easy, hard = ({r["headword"] for r in df.collect()} for df in (index.easy(("A1", "B1")), index.difficult(("B1", "C2"))))
+    assert {r["headword"]: (r["is_easy"], r["is_difficult"]) for r in flags.collect()} == {w: (w in easy, w in hard) for w in "abcdef"}
+    assert "Join" not in flags._jdf.queryExecution().optimizedPlan().toString()
