@@ -1,5 +1,7 @@
 """Scalar goldens, and every Column function against its scalar counterpart."""
 
+import time
+
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -83,3 +85,21 @@ def test_normalize_column_equals_scalar(spark):
     rnd = random.Random(3)
     texts = ["".join(rnd.choice("aBz1 ,.!?\n\t-'é”_") for _ in range(rnd.randrange(30))) for _ in range(500)]
     assert column(spark, texts, t.normalize) == [scalar.normalize_text(s) for s in texts]
+
+
+def test_normalize_time(spark):
+    """Twice as fast as one pass of its class by ranges alone; long runs of newlines cost their length."""
+
+    def seconds(value, f, n):
+        best = float("inf")
+        for _ in range(2):
+            began = time.time()
+            rows = spark.range(n).select(F.concat(F.lit(value), F.col("id").cast("string")).alias("s"))
+            rows.select(F.sum(F.length(f(F.col("s"))))).collect()
+            best = min(best, time.time() - began)
+        return best
+
+    prose = "plain words and some more of them, " * 2000
+    ranges = seconds(prose, lambda c: F.regexp_replace(F.lower(c), r"[^a-z0-9 ,.!?\n]+", " "), 200)
+    assert seconds(prose, t.normalize, 200) < ranges / 2
+    assert seconds("\n" * 60_000 + "a", t.normalize, 1) < 5
