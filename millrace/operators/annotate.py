@@ -8,10 +8,11 @@ from abc import ABC, abstractmethod
 from collections.abc import Callable, Iterable, Mapping
 from typing import Any, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from millrace.functions.text import number_of_characters, number_of_words
 
@@ -25,12 +26,54 @@ TOPICS = tuple((
 ).split(";"))
 EDUCATION_LEVELS = tuple("primary school;middle school;high school;university degree;PhD degree".split(";"))
 MODEL, MOST_CHARACTERS = "gemini-2.5-flash-lite", 15_000
+#: A worker holds the annotations of so many rows.
+PART_ROWS = 100
+#: Types that Arrow takes from Python values as they are.
+_PLAIN = (T.StringType, T.BooleanType, T.BinaryType, T.IntegralType, T.FloatType, T.DoubleType)
+Annotated = Callable[[Iterable[str | None]], list[dict[str, Any]]]
 
 
 def _schema(spec: str | T.StructType) -> T.StructType:
     return spec if isinstance(spec, T.StructType) else T.StructType.fromDDL(spec)
 
 
+def _in_parts(start: Callable[[], None], annotated: Annotated, schema: pa.Schema, safe: bool) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array]]:
+    """The annotations as structs, PART_ROWS at a time; values become Arrow's as a pandas UDF would make them."""
+
+    def column(values: list[Any], kind: pa.DataType) -> pa.Array:
+        try:
+            return pa.array(values, kind, from_pandas=True, safe=safe)
+        except pa.ArrowInvalid:
+            return pa.array(values, from_pandas=True).cast(kind, safe=safe)
+
+    def part(texts: pa.Array) -> pa.Array:
+        rows = annotated(t.as_py() for t in texts)
+        return pa.StructArray.from_arrays([column([r.get(f.name) for r in rows], f.type) for f in schema], fields=list(schema))
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        start()
+        for texts in batches:
+            for at in range(0, max(1, len(texts)), PART_ROWS):
+                yield part(texts.slice(at, PART_ROWS))
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return run
+
+
+def _in_batches(start: Callable[[], None], annotated: Annotated, names: list[str]) -> Callable[[Iterator[Any]], Iterator[Any]]:
+    """The annotations as frames, a batch at a time."""
+    import pandas as pd
+
+    def run(batches: Iterable[pd.Series]) -> Iterable[pd.DataFrame]:
+        start()
+        for texts in batches:
+            rows = annotated(None if t is None or t is pd.NA else t for t in texts)
+            yield pd.DataFrame({n: pd.Series([r.get(n) for r in rows], dtype="object") for n in names})
+
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    return run
+
+
 class BaseAnnotator(ABC):
     """One text (maybe null) in, a value for each column of ``output_schema`` out.
 
@@ -57,22 +100,28 @@ class BaseAnnotator(ABC):
         return df.sparkSession.createDataFrame(rows).schema
 
     def annotate_dataframe(self, df: DataFrame, text_column: str = "text", show_progress: bool = False) -> DataFrame:
-        """``df`` and the annotation columns, row by row in Arrow batches; a name that is taken raises."""
+        """``df`` and the annotation columns, row by row in Arrow batches; a name that is taken raises.
+
+        Where the columns are text, numbers, booleans and bytes, a worker holds one batch as Arrow has it, one text
+        as a string and the annotations of ``PART_ROWS`` rows; other types go through pandas, a batch at a time.
+        """
         schema = self.schema_for(df, text_column)
         if clash := {f.name.lower() for f in schema} & {c.lower() for c in df.columns}:
             raise ValueError(f"annotation columns are in the table already: {sorted(clash)}")
         names, inferred = schema.fieldNames(), self.output_schema is None
 
-        def run(batches: Iterable[pd.Series]) -> Iterable[pd.DataFrame]:
-            self.open()
-            for texts in batches:
-                rows = [self.annotate(None if t is None or t is pd.NA else t) for t in texts]
-                if inferred and (unknown := set().union(*rows).difference(names)):
-                    raise ValueError(f"keys that the first {self.sample_rows} rows lack: {sorted(unknown)}; set output_schema")
-                yield pd.DataFrame({n: pd.Series([r.get(n) for r in rows], dtype="object") for n in names})
-
-        run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-        added = F.pandas_udf(run, schema).asNondeterministic()(F.col(f"`{text_column}`"))
+        def annotated(texts: Iterable[str | None]) -> list[dict[str, Any]]:
+            rows = [self.annotate(t) for t in texts]
+            if inferred and (unknown := set().union(*rows).difference(names)):
+                raise ValueError(f"keys that the first {self.sample_rows} rows lack: {sorted(unknown)}; set output_schema")
+            return rows
+
+        c = F.col(f"`{text_column}`")
+        if all(isinstance(f.dataType, _PLAIN) for f in schema):
+            safe = df.sparkSession.conf.get("spark.sql.execution.pandas.convertToArrowArraySafely") == "true"
+            added = F.arrow_udf(_in_parts(self.open, annotated, to_arrow_schema(schema), safe), schema).asNondeterministic()(c)
+        else:
+            added = F.pandas_udf(_in_batches(self.open, annotated, names), schema).asNondeterministic()(c)
         rows = df.withColumn("__mr_note", added)
         return rows.select(*[F.col(f"`{c}`") for c in df.columns], "__mr_note.*")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import millrace
 from millrace.operators import dedup, filters, stats
-from millrace.operators.annotate import CustomFunctionAnnotator, ExpressionAnnotator, LLMAnnotator, parse_response, text_features
+from millrace.operators.annotate import PART_ROWS, BaseAnnotator, CustomFunctionAnnotator, ExpressionAnnotator, LLMAnnotator, parse_response, text_features
 from millrace.operators.synonyms import SynonymMapper, rewrite_by_join
 
 MAP = {"vessel": "ship", "ascend": "climb", "employ": "use", "initiate": "begin", "roughly": "about", "perhaps": "", "Multi Word": "never"}
@@ -121,6 +121,41 @@ def test_annotator_gets_null_and_raises_on_a_clash(spark):
         CustomFunctionAnnotator(lambda s: {"k": 1}).annotate_dataframe(df.limit(0))
 
 
+def test_annotator_holds_the_annotations_of_a_part(spark):
+    """4,000 rows in a batch, whose annotations take 200 MB."""
+
+    class Memory(BaseAnnotator):
+        output_schema = "mb double, long string"
+
+        def resident(self):
+            with open("/proc/self/statm") as f:
+                return int(f.read().split()[1]) * 4096 / 1e6
+
+        def open(self):
+            self.start = self.resident()
+
+        def annotate(self, text):
+            return {"mb": self.resident() - self.start, "long": text * 12_500}
+
+    df = spark.range(1000, 5000).repartition(1).select(F.col("id").cast("string").alias("text"))
+    most, characters = Memory().annotate_dataframe(df).agg(F.max("mb"), F.sum(F.length("long"))).first()
+    assert characters == 200_000_000 and most < 120
+
+
+def test_annotations_become_columns_as_in_pandas_udfs(spark):
+    values = [{"l": 1.0, "d": 1, "s": "x", "b": True, "y": b"1"}, {"l": 2.9, "d": float("nan"), "s": None}, {}, {"l": 4, "d": 2.5, "other": 1}]
+    schema = "l long, d double, s string, b boolean, y binary"
+
+    def features(text):
+        return values[int(text)]
+
+    df = frame(spark, [str(i % 4) for i in range(2 * PART_ROWS + 7)]).repartition(1)
+    got = [tuple(r) for r in CustomFunctionAnnotator(features, schema).annotate_dataframe(df).select("l", "d", "s", "b", "y", "text").collect()]
+    plain = CustomFunctionAnnotator(lambda text: {**features(text), "a": [text]}, f"{schema}, a array<string>").annotate_dataframe(df)
+    assert got == [tuple(r) for r in plain.select("l", "d", "s", "b", "y", "text").where("a[0] = text").collect()] and len(got) == 2 * PART_ROWS + 7
+    assert got[:4] == [(1, 1.0, "x", True, b"1", "0"), (2, None, None, None, None, "1"), (None, None, None, None, None, "2"), (4, 2.5, None, None, None, "3")]
+
+
 REPLIES = {
     "good": '```json\n{"topic": "Mathematics", "education": "high school"}\n```', "odd": '{"topic": "Alchemy", "education": "nursery"}',
     "broken": "{not json", "list": "[1]", "value": ValueError("v"), "other": RuntimeError("o"),
