@@ -7,9 +7,11 @@ otherwise, so grades agree with theirs only roughly; pass another ``grade`` wher
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .plain import grade_counts, if_ascii
 from .text import is_blank
 
 PER_SENTENCE, PER_WORD, OFFSET = 0.39, 11.8, 15.59
@@ -32,8 +34,13 @@ def counts(c: Column) -> tuple[Column, Column, Column]:
     return F.size(_words(c)), _sentences(c), _syllables(_words(c))
 
 
+def _ascii_grade(text: bytes) -> float | None:
+    words, sentences, syllables = grade_counts(text)
+    return PER_SENTENCE * (words / sentences) + PER_WORD * (syllables / words) - OFFSET if words else None
+
+
 def reading_grade(c: Column) -> Column:
-    """The grade, null where there is no word."""
+    """The grade, null where there is no word. Texts of ASCII characters alone are counted as bytes, in Arrow batches."""
 
     def grade(words: Column) -> Column:
         n = F.size(words).cast("double")
@@ -41,7 +48,8 @@ def reading_grade(c: Column) -> Column:
         return F.when(n > 0, known)
 
     # one element's transform binds the words, so that they are found once
-    return F.when(~is_blank(c), F.element_at(F.transform(F.array(_words(c)), grade), 1))
+    native = F.when(~is_blank(c), F.element_at(F.transform(F.array(_words(c)), grade), 1))
+    return if_ascii(c, _ascii_grade, pa.float64(), "double", native)
 
 
 def is_middle_school_level(c: Column) -> Column:

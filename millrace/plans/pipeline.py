@@ -6,10 +6,12 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.text import is_blank, normalize
+from millrace.functions.plain import normalized, over_bytes
+from millrace.functions.text import is_blank
 from millrace.operators.annotate import BaseAnnotator
 from millrace.operators.dedup import arrival_order, dedup_keep_first
 from millrace.operators.filters import MAX_GRADE, filter_by_keywords, filter_by_readability, require_column
@@ -64,8 +66,9 @@ class Plan:
         if self.dedup:
             df = df.withColumn(_ORDER, order if order is not None else arrival_order())
         if self.normalize:
-            # a generator keeps Catalyst from copying the patterns into every filter that follows
-            once = df.select("*", F.explode(F.array(normalize(text))).alias(_NORMAL))
+            # a generator keeps Catalyst from copying the call into every filter that follows
+            normal = over_bytes(text, normalized, pa.string(), "string")
+            once = df.select("*", F.explode(F.array(normal)).alias(_NORMAL))
             df = once.withColumn(self.text_column, F.col(_NORMAL)).drop(_NORMAL).where(F.length(text) > 0)
             df = counts.watch(df, "normalized") if counts else df
             if self.dedup and self.early_dedup:

@@ -1,0 +1,80 @@
+"""Byte functions give what the Column functions and the string versions give, in less time."""
+
+import random
+import sys
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace import scalar
+from millrace.functions import plain
+from millrace.functions import text as t
+from millrace.functions.readability import reading_grade
+from millrace.operators.synonyms import SynonymMapper
+from millrace.plans.pipeline import Plan
+
+MAP = {"The": "this very", "and": "plus", "a1": "b_2", "que": "THAT one", "für": "pro", "et": "", "an": "été", "-": "x", "s": "z"}
+
+
+def made_up(alphabet, n, longest=40, seed=5):
+    rnd = random.Random(seed)
+    return ["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(longest))) for _ in range(n)]
+
+
+def columns(spark, texts, *functions):
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(texts)], "i long, s string")
+    rows = df.select("i", *[f(F.col("s")).alias(f"c{k}") for k, f in enumerate(functions)]).orderBy("i").collect()
+    return [[r[k + 1] for r in rows] for k in range(len(functions))]
+
+
+def test_only_two_other_characters_have_ascii_in_lower_case():
+    found = {chr(i) for i in range(128, sys.maxunicode + 1) if any(c < "\x80" for c in chr(i).lower())}
+    assert found == {"\u212a", "\u0130"} == {plain._KELVIN.decode(), plain._DOTTED_I.decode()}
+
+
+def test_normalized_equals_column(spark):
+    texts = [None, "", " ", "\n", "...", ". , !", "\u212aelvin İstanbul", "aİ.İ", *made_up("aZ09 ,.!?\n\n  -\té\u212aİ\U0001f600", 4000)]
+    native, got = columns(spark, texts, t.normalize, lambda c: plain.over_bytes(c, plain.normalized, plain.pa.string(), "string"))
+    assert got == native
+    every = [f"a{chr(i)}b" for i in range(1, 0x3000)]
+    native, got = columns(spark, every, t.normalize, lambda c: plain.over_bytes(c, plain.normalized, plain.pa.string(), "string"))
+    assert got == native
+
+
+@pytest.mark.parametrize("alphabet", ["aeybcX9' .!?\n-_", "aeybcX9' .!?\n-_éİ"])
+def test_grade_equals_scalar(spark, alphabet):
+    texts = [None, "", " ", "'", "_", "...", "hmm", "x" * 300 + "a" * 300, *made_up(alphabet, 2000)]
+    assert columns(spark, texts, reading_grade)[0] == [scalar.calculate_readability_grade(s) for s in texts]
+
+
+@pytest.mark.parametrize("case", [True, False])
+@pytest.mark.parametrize("extra", ["", "éü"])
+def test_synonyms_equal_simplify_line(spark, case, extra):
+    mapper = SynonymMapper(MAP, preserve_case=case)
+    rnd = random.Random(2)
+    parts = ["the", "The", "THE", "tHe", "and", "AN", "an", "a1", "A1", "que", "Que", "et", "s", "_", "1", " ", "-", "'", "\n", *extra]
+    texts = [None, "", *("".join(rnd.choice(parts) for _ in range(rnd.randrange(12))) for _ in range(2000))]
+    assert columns(spark, texts, mapper.column)[0] == [None if s is None else mapper.simplify_line(s) for s in texts]
+
+
+def test_plan_costs_less_than_the_patterns(spark):
+    """Grade and synonyms each in less time than their words take to find by a pattern, the plan in less than both."""
+    prose = "plain words and the others, some more of them. " * 1500
+    df = spark.range(800).repartition(4).select(F.concat(F.lit(prose), F.col("id").cast("string")).alias("text"))
+    text = F.col("text")
+
+    def seconds(rows):
+        best = float("inf")
+        for _ in range(3):
+            began = time.time()
+            rows.write.format("noop").mode("overwrite").save()
+            best = min(best, time.time() - began)
+        return best
+
+    words = seconds(df.select(F.size(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}']+"), F.lit(0)))))
+    pieces = seconds(df.select(F.size(F.regexp_extract_all(text, F.lit(rf"{t.WORD}|[^\p{{L}}\p{{N}}_]+"), F.lit(0)))))
+    mapper = SynonymMapper({"the": "this", "and": "plus"})
+    assert seconds(df.select(reading_grade(text))) < words
+    assert seconds(df.select(mapper.column(text))) < pieces
+    assert seconds(Plan(dedup=False).with_readability(100).with_synonyms(mapper).apply(df)) < words + pieces
